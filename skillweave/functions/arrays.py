@@ -39,7 +39,7 @@ def term_counts(terms: Column) -> Column:
         )
 
     empty = F.array().cast("array<struct<term:string,tf:bigint>>")
-    return F.when(F.size(terms) > 0, let(F.array_sort(terms), runs)).otherwise(empty)
+    return F.when(F.size(terms) > 0, let(F.sort_array(terms), runs)).otherwise(empty)
 
 
 def string_array(values: list[str]) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from skillweave.functions.text import alnum_normalise
 from skillweave.operators.joins import lookup_join
+from skillweave.session import cut_lineage
 
 MAX_INLINE_VARIANTS = 2_000
 
@@ -104,21 +105,23 @@ def _match_by_grams(normal: DataFrame, variants: DataFrame, key: str, word_bound
     sound key; a variant whose words all occur shares its longest word.
     """
 
-    def grams(of: Column, width: Column) -> Column:
-        starts = F.when(F.length(of) >= width, F.sequence(F.lit(1), F.length(of) - width + 1))
-        return F.transform(starts, lambda i: F.substring(of, i, width))
+    def grams(of: Column, width: int) -> Column:
+        # Overlapping matches of a look-ahead: one pass over the text.
+        return F.regexp_extract_all(of, F.lit(f"(?=(.{{{width}}}))"), F.lit(1))
 
-    of_text = normal.select(
-        key,
-        F.explode(F.array_distinct(F.flatten(F.filter(F.array(*[grams(F.col("_text"), F.lit(w)) for w in (1, 2, 3)]), lambda a: a.isNotNull())))).alias("_gram"),
-    )
+    def key_grams(of: Column) -> Column:
+        return F.when(F.length(of) >= 3, grams(of, 3)).otherwise(F.array(of))
+
+    every = F.concat(*[grams(F.col("_text"), width) for width in (1, 2, 3)])
+    of_text = normal.select(key, F.explode(F.array_distinct(every)).alias("_gram"))
     frequency = of_text.groupBy("_gram").agg(F.count("*").alias("_df"))
     rarest = (
-        variants.select("Category", "variant", F.explode(F.array_distinct(grams(F.col("variant"), F.least(F.lit(3), F.length("variant"))))).alias("_gram"))
+        variants.select("Category", "variant", F.explode(F.array_distinct(key_grams(F.col("variant")))).alias("_gram"))
         .join(frequency, "_gram")
         .groupBy("Category", "variant")
         .agg(F.min_by("_gram", F.struct("_df", "_gram")).alias("_gram"))
     )
+    rarest = cut_lineage(rarest)
     by_word = variants.select(
         "Category",
         "variant",

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skillweave.operators.features import fit_tfidf, stratified_split, with_class_weights
+from skillweave.operators.joins import for_iterations
 from skillweave.operators.metrics import evaluate_predictions, per_class
 
 SEED = 42
@@ -36,14 +37,15 @@ def _indexed(train: DataFrame, label: str) -> tuple[DataFrame, StringIndexerMode
 
 def fit_linear_svc(train: DataFrame, features: str, label: str = "Category", weight: str = "weight", max_iter: int = SVM_ITERATIONS, parallelism: int = 4) -> FittedClassifier:
     """One linear SVM per class against the rest; the penalty equals a cost of 1 per training row."""
-    rows, indexer = _indexed(train, label)
-    svm = LinearSVC(maxIter=max_iter, regParam=1.0 / max(1, train.count()), standardization=False)
+    n = train.count()
+    rows, indexer = _indexed(for_iterations(train.select(label, features, weight), n), label)
+    svm = LinearSVC(maxIter=max_iter, regParam=1.0 / max(1, n), standardization=False)
     model = OneVsRest(classifier=svm, featuresCol=features, labelCol="_label", weightCol=weight, predictionCol="_predicted", parallelism=parallelism).fit(rows)
     return FittedClassifier(model, indexer.labels, features)
 
 
 def fit_random_forest(train: DataFrame, features: str, label: str = "Category", weight: str = "weight", trees: int = TREES, max_depth: int = MAX_DEPTH, seed: int = SEED) -> FittedClassifier:
-    rows, indexer = _indexed(train, label)
+    rows, indexer = _indexed(for_iterations(train.select(label, features, weight)), label)
     forest = RandomForestClassifier(
         numTrees=trees,
         maxDepth=max_depth,

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from skillweave.functions.text import ENGLISH_STOPWORDS, clean_tokens
 from skillweave.operators.joins import lookup_join
+from skillweave.session import cut_lineage
 
 MAX_INLINE_LEMMAS = 200_000
 
@@ -63,7 +64,7 @@ def lemmatise(
     head = table.limit(max_inline_lemmas + 1).toArrow()
     if head.num_rows <= max_inline_lemmas:
         return _lemmatise_inline(df, tokens, head)
-    return _lemmatise_by_join(df, tokens, table, key, any_token=lemmas is not None)
+    return _lemmatise_by_join(df, tokens, cut_lineage(table), key, any_token=lemmas is not None)
 
 
 def _lemmatise_inline(df: DataFrame, tokens: str, table: pa.Table) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from skillweave.functions.vectors import as_double, to_matrix
 from skillweave.operators.joins import lookup_join
+from skillweave.session import cut_lineage
 
 SILHOUETTE_SAMPLE = 2000
 ROWS_AT_ONCE = 256
@@ -78,7 +79,7 @@ def calinski_harabasz(df: DataFrame, label: str, vector: str = "embedding") -> D
 
 def davies_bouldin(df: DataFrame, label: str, vector: str = "embedding") -> DataFrame:
     """Mean over clusters of the worst (spread + spread) / distance to another cluster."""
-    centres = centroids(df, label, vector).select(label, "centre")
+    centres = cut_lineage(centroids(df, label, vector).select(label, "centre"))
     spread = (
         lookup_join(df.select(label, vector), centres, label)
         .groupBy(label)

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from skillweave.functions.vectors import l2_normalise, to_matrix
 from skillweave.operators import cluster_quality as quality
-from skillweave.operators.joins import one_row
+from skillweave.operators.joins import for_iterations, one_row
 
 SEED = 42
 RESTARTS = 10
@@ -44,7 +44,7 @@ def kmeans_fit(
     df: DataFrame, k: int, seed: int = SEED, n_init: int = RESTARTS, vector: str = "embedding", parallelism: int = 4
 ) -> KMeansModel:
     """Best of ``n_init`` runs by inertia; several runs share the cluster."""
-    points = _vectors(df, vector).select("_features").persist(StorageLevel.MEMORY_AND_DISK)
+    points = for_iterations(_vectors(df, vector).select("_features")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return _fit(points, k, seed, n_init, parallelism)
     finally:
@@ -89,7 +89,7 @@ def kmeans_sweep(
     parallelism: int = 4,
 ) -> tuple[DataFrame, dict[int, KMeansModel]]:
     """All quality scores for every k, and the fitted models, so the chosen one is not fitted again."""
-    points = _vectors(df.select(key, vector), vector).persist(StorageLevel.MEMORY_AND_DISK)
+    points = for_iterations(_vectors(df.select(key, vector), vector)).persist(StorageLevel.MEMORY_AND_DISK)
     rows, models = [], {}
     try:
         for k in range(k_min, k_max + 1):

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from skillweave.functions.arrays import term_counts
 from skillweave.functions.text import text_or_empty, word_terms
 from skillweave.operators.joins import lookup_join
+from skillweave.session import cut_lineage
 
 SEED = 42
 TEST_SHARE = 0.15
@@ -74,12 +75,12 @@ def stratified_split(
     drawn = df.withColumn("_draw", F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed))))).withColumn(
         "_slot", F.substring("_draw", 1, _DRAW_PREFIX)
     )
-    slots = drawn.groupBy(label, "_slot").agg(F.count("*").alias("_in_slot"))
+    # One pass over the rows; everything up to the borders comes from this small table.
+    slots = cut_lineage(drawn.groupBy(label, "_slot").agg(F.count("*").alias("_in_slot")))
     quotas = split_quotas(slots.groupBy(label).agg(F.sum("_in_slot").alias("n")), label, test, validation)
     running = slots.withColumn("_upto", F.sum("_in_slot").over(W.partitionBy(label).orderBy("_slot")))
     ends = {"test": F.col("n_test"), "val": F.col("n_test") + F.col("n_val")}
-    limited = lookup_join(running, quotas, label)
-    borders = limited.groupBy(label).agg(
+    borders = running.join(quotas, label).groupBy(label).agg(
         *[
             F.min(F.when(F.col("_upto") > end, F.struct(F.col("_slot").alias("slot"), (F.col("_upto") - F.col("_in_slot")).alias("before")))).alias(f"_{name}")
             for name, end in ends.items()
@@ -87,7 +88,7 @@ def stratified_split(
         F.any_value(ends["test"]).alias("_end_test"),
         F.any_value(ends["val"]).alias("_end_val"),
     )
-    placed = lookup_join(drawn, borders, label, salt_on=[key])
+    placed = lookup_join(drawn, cut_lineage(borders), label, salt_on=[key])
     test_slot, val_slot = F.col("_test.slot"), F.col("_val.slot")
     on_border = F.coalesce((F.col("_slot") == test_slot) | (F.col("_slot") == val_slot), F.lit(False))
     side = (
@@ -187,5 +188,5 @@ def class_weights(df: DataFrame, label: str = "Category") -> DataFrame:
 
 
 def with_class_weights(df: DataFrame, label: str = "Category", out: str = "weight") -> DataFrame:
-    weights = class_weights(df, label).select(label, F.col("weight").alias(out))
+    weights = cut_lineage(class_weights(df, label).select(label, F.col("weight").alias(out)))
     return lookup_join(df, weights, label)

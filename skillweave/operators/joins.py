@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
 HOT_KEYS = 100
 SALTS = 32
+ROWS_PER_TRAINING_TASK = 20_000
 
 
 def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
@@ -49,6 +52,17 @@ def lookup_join(
     return salted_facts.join(salted_dim, [key, "_salt"], how).drop("_salt")
 
 
+def for_iterations(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """``df`` on as few partitions as its rows need, for algorithms that run one job per step.
+
+    Small training data spread over all cores spends its time on starting tasks; data with
+    more rows than the cores' share stays as it is.
+    """
+    rows = df.count() if rows is None else rows
+    needed = max(1, math.ceil(rows / ROWS_PER_TRAINING_TASK))
+    return df.repartition(needed) if needed < df.sparkSession.sparkContext.defaultParallelism else df
+
+
 def one_row(parts: list[DataFrame]) -> DataFrame:
     """One-row frames with different columns side by side in one row, without a join."""
     merged = parts[0]

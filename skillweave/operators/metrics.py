@@ -110,12 +110,13 @@ def evaluate_predictions(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def classification_report(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """The report as rows: one per label, then ``accuracy``, ``macro avg`` and ``weighted avg``."""
-    classes = per_class(df, by).drop("tp")
     support = F.sum("support")
+    line_type = "array<struct<label:string,precision:double,recall:double,f1:double,support:bigint>>"
     rows = (
         per_class(df, by)
         .groupBy(*by)
         .agg(
+            F.collect_list(F.struct("label", "precision", "recall", "f1", "support")).cast(line_type).alias("classes"),
             (F.sum("tp") / support).alias("acc"),
             support.alias("n"),
             *[F.avg(c).alias(f"m_{c}") for c in ("precision", "recall", "f1")],
@@ -133,17 +134,12 @@ def classification_report(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
             F.col("n").alias("support"),
         )
 
-    totals = rows.select(
-        *by,
-        F.inline(
-            F.array(
-                line("accuracy", nothing, nothing, F.col("acc")),
-                line("macro avg", F.col("m_precision"), F.col("m_recall"), F.col("m_f1")),
-                line("weighted avg", F.col("w_precision"), F.col("w_recall"), F.col("w_f1")),
-            )
-        ),
+    totals = F.array(
+        line("accuracy", nothing, nothing, F.col("acc")),
+        line("macro avg", F.col("m_precision"), F.col("m_recall"), F.col("m_f1")),
+        line("weighted avg", F.col("w_precision"), F.col("w_recall"), F.col("w_f1")),
     )
-    return classes.withColumn("label", F.col("label").cast("string")).unionByName(totals)
+    return rows.select(*by, F.inline(F.concat("classes", totals.cast(line_type))))
 
 
 def flatten_models(results: DataFrame) -> DataFrame:
@@ -165,17 +161,13 @@ def precision_at_k(ranked: DataFrame, relevant: DataFrame, k: int, query: str =
     ``ranked`` holds (query, item, rank), ``relevant`` distinct (query, item) pairs. The divisor is
     ``k`` even for shorter lists; ``k <= 0`` gives 0.
     """
-    queries = ranked.select(query).distinct()
     if k <= 0:
-        return queries.withColumn("precision_at_k", F.lit(0.0))
-    hits = (
-        ranked.where(F.col("rank") <= k)
-        .join(relevant.select(query, item).distinct(), [query, item], "left_semi")
-        .groupBy(query)
-        .agg(F.count("*").alias("hits"))
+        return ranked.select(query).distinct().withColumn("precision_at_k", F.lit(0.0))
+    # Every query has a first rank, so the head of the lists already holds all queries.
+    flagged = ranked.where(F.col("rank") <= k).join(
+        relevant.select(query, item).distinct().withColumn("_hit", F.lit(1)), [query, item], "left"
     )
-    share = F.coalesce(F.col("hits"), F.lit(0)) / F.lit(float(k))
-    return queries.join(hits, query, "left").select(query, share.alias("precision_at_k"))
+    return flagged.groupBy(query).agg((F.count("_hit") / F.lit(float(k))).alias("precision_at_k"))
 
 
 def mean_precision_at_k(ranked: DataFrame, relevant: DataFrame, k: int, query: str = "JobID", item: str = "ID") -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from skillweave.operators.joins import lookup_join, one_row
 from skillweave.operators.skills import skill_items
+from skillweave.session import cut_lineage
 
 MIN_SUPPORT = 0.05
 MIN_THRESHOLD = 0.5
@@ -58,7 +59,9 @@ def frequent_itemsets(tx: DataFrame, min_support: float = MIN_SUPPORT) -> DataFr
     # The miner rounds its own threshold up to a whole count; asked a little lower, it never loses a set.
     model = FPGrowth(itemsCol="items", minSupport=max(0.0, min_support - 1e-9), minConfidence=1.0).fit(baskets)
     support = F.col("freq") / F.lit(float(n))
-    return model.freqItemsets.select(F.array_sort("items").alias("items"), "freq", support.alias("support")).where(F.col("support") >= min_support)
+    found = model.freqItemsets.select(F.array_sort("items").alias("items"), "freq", support.alias("support"))
+    # Written once: the model mines again for every use of its result.
+    return cut_lineage(found.where(F.col("support") >= min_support))
 
 
 def _key(items):

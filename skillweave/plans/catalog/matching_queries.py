@@ -13,8 +13,9 @@ from skillweave.operators.embedding import embed_text, inverse_frequencies, port
 from skillweave.operators.metrics import mean_precision_at_k, precision_at_k, relevant_ids
 from skillweave.operators.schema import attach_embeddings
 from skillweave.operators.similarity import topk_cosine
-from skillweave.plans.catalog.registry import joined, query, r6, table
+from skillweave.plans.catalog.registry import joined, query, r6, table, text_table
 from skillweave.plans.catalog.sql_parts import alnum, clean_ctes
+from skillweave.session import cut_lineage
 
 DIM = 64
 
@@ -167,9 +168,10 @@ final AS (SELECT *, row_number() OVER (PARTITION BY job ORDER BY boost DESC, id)
 
 
 def text_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    documents, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
-    profiles = clean_text(documents.select(F.col("doc_id").alias("ID"), F.col("lang").alias("Category"), F.col("text").alias("raw_text"))).drop("raw_text")
-    jobs = clean_text(benchmark.select(F.col("item_id").alias("JobID"), F.col("text").alias("raw_text")), key="JobID").drop("raw_text")
+    documents = text_table(spark, sf_dir, "documents", "ID", ID="doc_id", Category="lang", raw_text="text")
+    benchmark = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("JobID"), F.col("text").alias("raw_text"))
+    profiles = cut_lineage(clean_text(documents).drop("raw_text"))
+    jobs = cut_lineage(clean_text(benchmark, key="JobID").drop("raw_text"))
     weights = inverse_frequencies(profiles, dim=DIM, term_hash=portable_hash)
     matched = infer_categories(jobs, profiles.select("Category"), TEXT_ALIASES)
     vectors = [embed_text(df, DIM, key=k, weights=weights, term_hash=portable_hash) for df, k in ((jobs, "JobID"), (profiles, "ID"))]
@@ -221,8 +223,8 @@ FROM documents d CROSS JOIN range({DIM}) AS s(bucket)
 LEFT JOIN weight w ON w.id = d.doc_id AND w.bucket = s.bucket LEFT JOIN norm n ON n.id = d.doc_id""",
 )
 def embedded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("raw_text"))
-    cleaned = clean_text(documents, key="id").drop("raw_text")
+    documents = text_table(spark, sf_dir, "documents", "id", id="doc_id", raw_text="text")
+    cleaned = cut_lineage(clean_text(documents, key="id").drop("raw_text"))
     vectors = embed_text(cleaned, DIM, key="id", term_hash=portable_hash)
     return vectors.select("id", F.posexplode("embedding").alias("position", "value")).select(
         "id", F.col("position").cast("bigint").alias("position"), (r6("value") + F.lit(0.0)).alias("value")
@@ -244,7 +246,7 @@ body AS (SELECT doc_id, {alnum("text")} AS t FROM documents)"""
 
 
 def _region_categories(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
-    texts = table(spark, sf_dir, "documents").select("doc_id", "text")
+    texts = text_table(spark, sf_dir, "documents", "doc_id", doc_id="doc_id", text="text")
     names = table(spark, sf_dir, "region").select(F.col("r_name").alias("Category"))
     found = infer_categories(texts, names, REGION_ALIASES, key="doc_id", text="text", **options)
     return found.select("doc_id", joined("matched_categories").alias("matched_categories"))

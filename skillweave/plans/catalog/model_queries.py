@@ -12,7 +12,7 @@ from skillweave.operators import cluster_quality as quality
 from skillweave.operators import clustering, features, metrics
 from skillweave.operators.cleaning import clean_text
 from skillweave.operators.embedding import embed_text, pca_reduce
-from skillweave.plans.catalog.registry import query, r6, table
+from skillweave.plans.catalog.registry import query, r6, table, text_table
 from skillweave.plans.catalog.sql_parts import quality_values
 from skillweave.session import cut_lineage
 
@@ -192,7 +192,7 @@ vocab AS (SELECT term, count(*) AS df, sum(tf)::BIGINT AS tf FROM tf GROUP BY te
 
 
 def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("ID"), F.col("text").alias("clean_text"))
+    return text_table(spark, sf_dir, "documents", "ID", ID="doc_id", clean_text="text")
 
 
 @query(
@@ -259,7 +259,7 @@ def split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of a document from its text and its vector."""
-    documents = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("ID"), F.col("lang").alias("Category"), F.col("text").alias("raw_text"))
+    documents = text_table(spark, sf_dir, "documents", "ID", ID="doc_id", Category="lang", raw_text="text")
     cleaned = cut_lineage(clean_text(documents).select("ID", "Category", "clean_text"))
     embedded = embed_text(cleaned.select("ID", "clean_text"), 64)
     profiles = cleaned.join(embedded, "ID")

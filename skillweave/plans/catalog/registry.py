@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skillweave.sources.readers import balanced
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -27,6 +29,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def text_table(spark: SparkSession, sf_dir: str, name: str, key: str, **columns: str) -> DataFrame:
+    """The renamed columns of a table with heavy text, spread over all cores."""
+    chosen = table(spark, sf_dir, name).select(*[F.col(old).alias(new) for new, old in columns.items()])
+    return balanced(chosen, key)
+
+
 def r6(col: Column | str) -> Column:
     return F.round(col, 6)
 

@@ -24,7 +24,7 @@ from skillweave.operators.skills import (
     skill_items,
     skills_with_fallback,
 )
-from skillweave.plans.catalog.registry import joined, query, r6, table
+from skillweave.plans.catalog.registry import joined, query, r6, table, text_table
 from skillweave.plans.catalog.sql_parts import collapse
 from skillweave.plans.catalog.text_queries import scratch
 from skillweave.streaming.skill_stream import SkillCache, run_incremental
@@ -199,7 +199,7 @@ found AS (SELECT id, {_found(TECHNICAL, "t")} AS technical, {_found(SOFT, "t")}
 
 
 def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("ID"), F.col("text").alias("clean_text"))
+    return text_table(spark, sf_dir, "documents", "ID", ID="doc_id", clean_text="text")
 
 
 @query(

@@ -21,7 +21,7 @@ from skillweave.functions.text import (
 )
 from skillweave.operators.cleaning import build_lemmas, clean_text, lemmatise, prompt_rows
 from skillweave.operators.schema import alignment, resolve_column, standardise_jobs, standardise_profiles, take_first, with_surrogate_id
-from skillweave.plans.catalog.registry import joined, query, table
+from skillweave.plans.catalog.registry import joined, query, table, text_table
 from skillweave.plans.catalog.sql_parts import STOPS, alnum, clean_ctes, collapse, letters, untag
 from skillweave.session import shared_root
 from skillweave.sources.readers import read_embeddings, read_jobs, read_profiles, read_skill_map, write_embeddings
@@ -183,7 +183,7 @@ FROM documents""",
 )
 def text_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.col("text")
-    return table(spark, sf_dir, "documents").select(
+    return text_table(spark, sf_dir, "documents", "doc_id", doc_id="doc_id", text="text").select(
         "doc_id",
         F.md5(letters_only(text)).alias("letters"),
         F.md5(alnum_normalise(text)).alias("alnum"),
@@ -212,12 +212,12 @@ def without_stopwords(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("build_lemmas", f"WITH {clean_ctes('documents', 'doc_id', 'text')} SELECT surface, lemma FROM lemma")
 def lemma_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_lemmas(table(spark, sf_dir, "documents").select(clean_tokens(F.col("text")).alias("tokens")))
+    return build_lemmas(text_table(spark, sf_dir, "documents", "id", id="doc_id", text="text").select(clean_tokens(F.col("text")).alias("tokens")))
 
 
 @query("clean_text_pages", f"WITH {clean_ctes('pages', 'page_id', 'html')} SELECT id, clean_text FROM clean")
 def clean_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), F.col("html").alias("raw_text"))
+    pages = text_table(spark, sf_dir, "pages", "id", id="page_id", raw_text="html")
     return clean_text(pages, key="id").select("id", "clean_text")
 
 
@@ -226,14 +226,14 @@ CLEAN_DOCUMENTS = f"WITH {clean_ctes('documents', 'doc_id', 'text')} SELECT id,
 
 @query("clean_text_documents", CLEAN_DOCUMENTS)
 def clean_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("raw_text"))
+    documents = text_table(spark, sf_dir, "documents", "id", id="doc_id", raw_text="text")
     return clean_text(documents, key="id").select("id", "clean_text")
 
 
 @query("lemmatise_many", CLEAN_DOCUMENTS)
 def lemmatise_by_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The path for lemma tables too long to carry to the rows."""
-    tokens = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), clean_tokens(F.col("text")).alias("tokens"))
+    tokens = text_table(spark, sf_dir, "documents", "id", id="doc_id", text="text").select("id", clean_tokens(F.col("text")).alias("tokens"))
     changed = lemmatise(tokens, key="id", max_inline_lemmas=0)
     return changed.select("id", F.array_join("tokens", " ").alias("clean_text"))
 

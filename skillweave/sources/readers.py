@@ -43,6 +43,15 @@ def read_jobs(spark: SparkSession, path: str) -> DataFrame | None:
     return _read(spark, path) if path_exists(spark, path) else None
 
 
+def balanced(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` on all cores when its source yields fewer partitions than there are cores, by hash of ``keys``.
+
+    For heavy per-row work on a few big files. A source with enough partitions is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def land(df: DataFrame, path: str, partitions: int | None = None) -> DataFrame:
     """Write once as Parquet and go on from the splittable copy."""
     (df if partitions is None else df.repartition(partitions)).write.mode("overwrite").parquet(path)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skillweave.functions.text import alnum_normalise
+from skillweave.functions.arrays import let
+from skillweave.functions.text import alnum_normalise, text_or_empty
 from skillweave.operators.joins import lookup_join
 from skillweave.session import cut_lineage
 
@@ -47,10 +48,16 @@ def category_variants(categories: DataFrame, aliases: dict[str, list[str]] | Non
     )
 
 
-def _hit(text: Column, tokens: Column, variant: Column, word_boundary: bool) -> Column:
-    padded = F.concat(F.lit(" "), text, F.lit(" "))
-    within = F.contains(padded, F.concat(F.lit(" "), variant, F.lit(" "))) if word_boundary else F.contains(text, variant)
-    return within | (F.size(F.array_except(F.split(variant, " "), tokens)) == 0)
+def _hit(padded: Column, tokens: Column, variant: Column, word_boundary: bool) -> Column:
+    """``padded`` is the normalised text between spaces; variants neither begin nor end with one."""
+    within = F.contains(padded, F.concat(F.lit(" "), variant, F.lit(" ")) if word_boundary else variant)
+    # The words of a one-word variant cannot occur without the variant itself.
+    several = F.contains(variant, F.lit(" "))
+    return within | (several & (F.size(F.array_except(F.split(variant, " "), tokens)) == 0))
+
+
+def _padded() -> Column:
+    return F.concat(F.lit(" "), F.col("_text"), F.lit(" "))
 
 
 def infer_categories(
@@ -68,9 +75,7 @@ def infer_categories(
     words of a variant occur in it. Substrings count inside words too ("hr" in "three");
     ``word_boundary`` switches that off.
     """
-    normal = texts.select(key, alnum_normalise(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("_text")).withColumn(
-        "_tokens", F.array_distinct(F.split("_text", " "))
-    )
+    normal = texts.select(key, alnum_normalise(text_or_empty(F.col(text))).alias("_text"))
     variants = category_variants(categories, aliases)
     few = variants.limit(max_inline_variants + 1).collect()
     if len(few) <= max_inline_variants:
@@ -91,9 +96,12 @@ def _match_inline(normal: DataFrame, few: list, key: str, word_boundary: bool) -
             for c in sorted(by_category)
         ]
     )
-    found = F.filter(
-        table,
-        lambda c: F.exists(c["variants"], lambda v: _hit(F.col("_text"), F.col("_tokens"), v, word_boundary)),
+    body = F.struct(_padded().alias("padded"), F.array_distinct(F.split("_text", " ")).alias("tokens"))
+    found = let(
+        body,
+        lambda b: F.filter(
+            table, lambda c: F.exists(c["variants"], lambda v: _hit(b["padded"], b["tokens"], v, word_boundary))
+        ),
     )
     return normal.select(key, F.transform(found, lambda c: c["category"]).alias("matched_categories"))
 
@@ -127,7 +135,7 @@ def _match_by_grams(normal: DataFrame, variants: DataFrame, key: str, word_bound
         "variant",
         F.element_at(F.array_sort(F.transform(F.split("variant", " "), lambda w: F.struct(F.length(w).alias("n"), w.alias("w")))), -1)["w"].alias("_word"),
     )
-    of_words = normal.select(key, F.explode("_tokens").alias("_word"))
+    of_words = normal.select(key, F.explode(F.array_distinct(F.split("_text", " "))).alias("_word"))
     candidates = (
         lookup_join(of_text, rarest, "_gram")
         .select(key, "Category", "variant")
@@ -135,7 +143,10 @@ def _match_by_grams(normal: DataFrame, variants: DataFrame, key: str, word_bound
         .groupBy(key)
         .agg(F.collect_set(F.struct("Category", "variant")).alias("_candidates"))
     )
-    kept = F.filter("_candidates", lambda c: _hit(F.col("_text"), F.col("_tokens"), c["variant"], word_boundary))
+    body = F.struct(_padded().alias("padded"), F.array_distinct(F.split("_text", " ")).alias("tokens"))
+    kept = let(
+        body, lambda b: F.filter("_candidates", lambda c: _hit(b["padded"], b["tokens"], c["variant"], word_boundary))
+    )
     names = F.array_sort(F.array_distinct(F.transform(kept, lambda c: c["Category"])))
     return normal.join(candidates, key, "left").select(
         key, F.coalesce(names, F.array().cast("array<string>")).alias("matched_categories")

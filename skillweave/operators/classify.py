@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.ml.classification import LinearSVC, OneVsRest, RandomForestClassifier
 from pyspark.ml.feature import IndexToString, StringIndexer, StringIndexerModel
 from pyspark.ml.functions import array_to_vector
@@ -14,6 +13,7 @@ from pyspark.sql import functions as F
 from skillweave.operators.features import fit_tfidf, stratified_split, with_class_weights
 from skillweave.operators.joins import for_iterations
 from skillweave.operators.metrics import evaluate_predictions, per_class
+from skillweave.session import written
 
 SEED = 42
 SVM_ITERATIONS = 100
@@ -78,9 +78,9 @@ def classify(
 
     ``profiles`` has ID, Category, clean_text, embedding.
     """
-    ready = stratified_split(profiles, "Category", "ID", seed).withColumn(
+    ready = written(stratified_split(profiles, "Category", "ID", seed), "split").withColumn(
         "vector", array_to_vector(F.col("embedding").cast("array<double>"))
-    ).persist(StorageLevel.MEMORY_AND_DISK)
+    )
     train, held = ready.where(F.col("split") == "train"), ready.where(F.col("split") != "train")
     weighted = with_class_weights(train)
     text_model = fit_tfidf(train, max_features=max_features)

@@ -32,20 +32,28 @@ def build_lemmas(df: DataFrame, tokens: str = "tokens") -> DataFrame:
     A suffix rule counts only where the form it yields is itself a word of the corpus. Of several
     such forms the shortest wins, then the first in sort order.
     """
-    vocabulary = df.select(F.explode(F.array_distinct(tokens)).alias("word")).distinct()
     surface = F.col("word")
-    forms = [
-        F.when(surface.endswith(end), F.concat(F.substring(surface, F.lit(1), F.length(surface) - len(end)), F.lit(new)))
+    itself = F.struct(surface.alias("form"), F.lit(None).cast("string").alias("surface"))
+    derived = [
+        F.when(
+            surface.endswith(end),
+            F.struct(
+                F.concat(F.substring(surface, F.lit(1), F.length(surface) - len(end)), F.lit(new)).alias("form"),
+                surface.alias("surface"),
+            ),
+        )
         for end, new in NOUN_SUFFIXES
     ]
-    derived = vocabulary.where(_may_be_inflected(surface)).select(
-        surface.alias("surface"), F.explode(F.array_compact(F.array(*forms))).alias("word")
-    )
-    return (
-        derived.join(vocabulary, "word", "left_semi")
-        .groupBy("surface")
-        .agg(F.min_by("word", F.struct(F.length("word"), "word")).alias("lemma"))
+    # One pass over the words: a form is in the corpus when it also arrives as a word of its own.
+    words = df.select(F.explode(F.array_distinct(tokens)).alias("word")).distinct()
+    forms = words.select(F.inline(F.array_compact(F.array(itself, *derived))))
+    attested = (
+        forms.groupBy("form")
+        .agg(F.bool_or(F.col("surface").isNull()).alias("known"), F.collect_set("surface").alias("surfaces"))
+        .where(F.col("known"))
+        .select("form", F.explode("surfaces").alias("surface"))
     )
+    return attested.groupBy("surface").agg(F.min_by("form", F.struct(F.length("form"), "form")).alias("lemma"))
 
 
 def lemmatise(

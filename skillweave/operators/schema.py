@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from skillweave.functions.text import text_or_empty
-from skillweave.session import cut_lineage
+from skillweave.session import written
 
 # Accepted column names, the first that exists wins, case ignored.
 PROFILE_TEXT = ("Resume_str", "resume", "resume_text", "text")
@@ -34,7 +34,7 @@ def with_surrogate_id(df: DataFrame, order_by: Sequence[str | Column], name: str
     its partition plus the rows of the partitions before. Only one number per partition is broadcast.
     """
     place = F.monotonically_increasing_id()
-    ordered = cut_lineage(df.orderBy(*order_by).withColumn("_place", place))
+    ordered = written(df.orderBy(*order_by).withColumn("_place", place), "ordered")
     part = F.shiftright("_place", _ROW_BITS)
     sizes = ordered.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
     before = F.coalesce(F.sum("_n").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))

@@ -16,6 +16,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,7 +24,7 @@ from pyspark.sql import types as T
 from skillweave.functions.vectors import cosine, to_matrix, unit_rows
 from skillweave.operators.ranking import rank_within, top_within
 
-MAX_BROADCAST_VALUES = 8_000_000
+MAX_BROADCAST_VALUES = 4_000_000
 SCALE = 1_000_000
 ITEM_CHUNK = 2048
 QUERY_CHUNK = 512
@@ -110,12 +111,11 @@ def topk_cosine(
         T.StructField("score", T.DoubleType()),
     ]
     schema = _arrow_schema(out)
-    queries = queries.where(F.col(vector).isNotNull()).select(query_id, vector)
-    items = items.where(F.col(vector).isNotNull()).select(item_id, *carry, vector)
-    first = queries.select(F.size(vector).alias("width")).first()
-    if first is None:
+    queries, items = queries.select(query_id, vector), items.select(item_id, *carry, vector)
+    width = queries.select(F.size(vector).alias("width")).where("width > 0").first()
+    if width is None:
         return rank_within(spark.createDataFrame([], T.StructType(out)), [query_id], [F.desc("score"), F.asc(item_id)])
-    block_rows = max(1, max_broadcast_values // max(1, first["width"]))
+    block_rows = max(1, max_broadcast_values // width["width"])
     head = queries.limit(block_rows + 1).toArrow()
     if head.num_rows <= block_rows:
         partial = _against_all(head, items, k, query_id, [item_id, *carry], vector, out, schema)
@@ -126,7 +126,7 @@ def topk_cosine(
 
 def _against_all(head, items, k, query_id, columns, vector, out, schema) -> DataFrame:
     """All queries, known to be few, against every partition of the items; the items stay in place."""
-    batch = head.combine_chunks()
+    batch = head.filter(pc.is_valid(head.column(vector))).combine_chunks()
     ids = np.array(batch.column(query_id).to_pylist(), dtype=object)
     context = items.sparkSession.sparkContext
     shared = context.broadcast((ids, to_matrix(batch.column(vector))))
@@ -134,6 +134,7 @@ def _against_all(head, items, k, query_id, columns, vector, out, schema) -> Data
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = _Best(*shared.value, k)
         for part in batches:
+            part = part.filter(pc.is_valid(part.column(vector)))
             if part.num_rows:
                 best.add([_values(part, c) for c in columns], to_matrix(part.column(vector)))
         yield from best.batches(schema)
@@ -179,6 +180,7 @@ def _block_against_shard(queries, items, k, query_id, columns, vector, block_row
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, waiting, best = None, [], None
         for batch in batches:
+            batch = batch.filter(pc.is_valid(batch.column("_vector")))
             groups = np.stack([batch.column(c).to_numpy() for c in ("_block", "_shard", "_role")])
             cuts = [0, *(np.flatnonzero((np.diff(groups, axis=1) != 0).any(axis=0)) + 1), batch.num_rows]
             for start, stop in zip(cuts, cuts[1:]):

@@ -15,7 +15,7 @@ from skillweave.operators.schema import attach_embeddings
 from skillweave.operators.similarity import topk_cosine
 from skillweave.plans.catalog.registry import joined, query, r6, table, text_table
 from skillweave.plans.catalog.sql_parts import alnum, clean_ctes
-from skillweave.session import cut_lineage
+from skillweave.session import written
 
 DIM = 64
 
@@ -170,8 +170,8 @@ final AS (SELECT *, row_number() OVER (PARTITION BY job ORDER BY boost DESC, id)
 def text_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     documents = text_table(spark, sf_dir, "documents", "ID", ID="doc_id", Category="lang", raw_text="text")
     benchmark = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("JobID"), F.col("text").alias("raw_text"))
-    profiles = cut_lineage(clean_text(documents).drop("raw_text"))
-    jobs = cut_lineage(clean_text(benchmark, key="JobID").drop("raw_text"))
+    profiles = written(clean_text(documents).drop("raw_text"))
+    jobs = written(clean_text(benchmark, key="JobID").drop("raw_text"))
     weights = inverse_frequencies(profiles, dim=DIM, term_hash=portable_hash)
     matched = infer_categories(jobs, profiles.select("Category"), TEXT_ALIASES)
     vectors = [embed_text(df, DIM, key=k, weights=weights, term_hash=portable_hash) for df, k in ((jobs, "JobID"), (profiles, "ID"))]
@@ -224,7 +224,7 @@ LEFT JOIN weight w ON w.id = d.doc_id AND w.bucket = s.bucket LEFT JOIN norm n O
 )
 def embedded(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = text_table(spark, sf_dir, "documents", "id", id="doc_id", raw_text="text")
-    cleaned = cut_lineage(clean_text(documents, key="id").drop("raw_text"))
+    cleaned = written(clean_text(documents, key="id").drop("raw_text"))
     vectors = embed_text(cleaned, DIM, key="id", term_hash=portable_hash)
     return vectors.select("id", F.posexplode("embedding").alias("position", "value")).select(
         "id", F.col("position").cast("bigint").alias("position"), (r6("value") + F.lit(0.0)).alias("value")

@@ -14,7 +14,7 @@ from skillweave.operators.cleaning import clean_text
 from skillweave.operators.embedding import embed_text, pca_reduce
 from skillweave.plans.catalog.registry import query, r6, table, text_table
 from skillweave.plans.catalog.sql_parts import quality_values
-from skillweave.session import cut_lineage
+from skillweave.session import written
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,7 +165,7 @@ def summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = []
     for pca in (None, 16):
         ready, kept = clustering.prepare_vectors(base, True, pca)
-        ready = cut_lineage(ready)
+        ready = written(ready)
         scores, models = clustering.kmeans_sweep(ready, 9, 10, n_init=2)
         assigned = clustering.kmeans_assign(models[clustering.select_k(scores).first()["k"]], ready)
         lines.append(clustering.clustering_summary(scores, assigned.select("ID", "Category", "cluster_id"), True, pca, kept))
@@ -260,10 +260,10 @@ def split(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of a document from its text and its vector."""
     documents = text_table(spark, sf_dir, "documents", "ID", ID="doc_id", Category="lang", raw_text="text")
-    cleaned = cut_lineage(clean_text(documents).select("ID", "Category", "clean_text"))
+    cleaned = written(clean_text(documents).select("ID", "Category", "clean_text"))
     embedded = embed_text(cleaned.select("ID", "clean_text"), 64)
     profiles = cleaned.join(embedded, "ID")
-    return cut_lineage(classification.classify(profiles, trees=20, max_depth=10, max_iter=20, max_features=2000))
+    return written(classification.classify(profiles, trees=20, max_depth=10, max_iter=20, max_features=2000))
 
 
 @query("classify_compare")

@@ -27,6 +27,7 @@ from skillweave.operators.skills import (
 from skillweave.plans.catalog.registry import joined, query, r6, table, text_table
 from skillweave.plans.catalog.sql_parts import collapse
 from skillweave.plans.catalog.text_queries import scratch
+from skillweave.session import written
 from skillweave.streaming.skill_stream import SkillCache, run_incremental
 
 TECHNICAL = ["the", "and", "onnthe", "of the", "der die", "que los", "zzz"]
@@ -405,11 +406,11 @@ def item_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""WITH {BASKET_SQL} SELECT array_to_string(items, '|') AS items, freq, round(support, 6) AS support FROM itemset""",
 )
 def itemsets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mining.frequent_itemsets(baskets(spark, sf_dir)).select(joined("items").alias("items"), "freq", r6("support").alias("support"))
+    return mining.frequent_itemsets(written(baskets(spark, sf_dir))).select(joined("items").alias("items"), "freq", r6("support").alias("support"))
 
 
 def _rules(spark: SparkSession, sf_dir: str, metric: str, threshold: float) -> DataFrame:
-    rules = mining.rank_rules(mining.association_rules(mining.frequent_itemsets(baskets(spark, sf_dir)), metric, threshold))
+    rules = mining.rank_rules(mining.association_rules(mining.frequent_itemsets(written(baskets(spark, sf_dir))), metric, threshold))
     return rules.select(
         joined("antecedent").alias("antecedent"),
         joined("consequent").alias("consequent"),
@@ -444,4 +445,4 @@ def rules_by_lift(spark: SparkSession, sf_dir: str) -> DataFrame:
   0.05::DOUBLE AS min_support, 'confidence' AS metric, 0.5::DOUBLE AS min_threshold""",
 )
 def meta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mining.mining_meta(baskets(spark, sf_dir))
+    return mining.mining_meta(written(baskets(spark, sf_dir)))

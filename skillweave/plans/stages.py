@@ -17,7 +17,7 @@ from skillweave.operators.embedding import EMBEDDING_DIM, embed_text, inverse_fr
 from skillweave.operators.incremental import cache_status, merge_cache, pending
 from skillweave.operators.schema import attach_embeddings, check_aligned, standardise_jobs, standardise_profiles, take_first
 from skillweave.operators.skills import extract_skills, parse_skill_response, skills_with_fallback
-from skillweave.session import cut_lineage
+from skillweave.session import cut_lineage, written
 
 Tables = dict[str, DataFrame | None]
 
@@ -75,7 +75,7 @@ def skills(
         found = skills_with_fallback(todo.join(answers, "ID", "left"))
     else:
         found = extract_skills(todo, extractor=extractor)
-    found = cut_lineage(found)
+    found = written(found, "skills")
     return {
         **out,
         "skill_lists": merge_cache(cache, found),
@@ -97,7 +97,7 @@ def cluster(
     if sample_size:
         joined = take_first(joined, sample_size, ["ID"])
     ready, kept = clustering.prepare_vectors(joined, normalize_embeddings, pca_components)
-    ready = cut_lineage(ready)
+    ready = written(ready, "vectors")
     scores, models = clustering.kmeans_sweep(ready, k_min, k_max, n_init=n_init)
     best = clustering.select_k(scores).first()["k"]
     assigned = clustering.kmeans_assign(models[best], ready).select("ID", "Category", "cluster_id")
@@ -119,7 +119,7 @@ def arm(
     tx = mining.transactions(lists if profiles is None else profiles, lists)
     if sample_size:
         tx = take_first(tx, sample_size, mining.order_transactions(tx) if profiles is None else ["ID"])
-    mined = mining.mine_rules(cut_lineage(tx), min_support, metric, min_threshold)
+    mined = mining.mine_rules(written(tx, "transactions"), min_support, metric, min_threshold)
     return {"frequent_itemsets": mined.itemsets, "association_rules": mined.rules, "skill_item_matrix_meta": mined.meta}
 
 
@@ -128,7 +128,9 @@ def classify(tables: Tables, sample_size: int | None = None, **options: Any) ->
     joined = attach_embeddings(check_aligned(profiles, vectors, "ID"), vectors)
     if sample_size:
         joined = take_first(joined, sample_size, ["ID"])
-    predictions = cut_lineage(classification.classify(joined.select("ID", "Category", "clean_text", "embedding"), **options))
+    predictions = written(
+        classification.classify(joined.select("ID", "Category", "clean_text", "embedding"), **options), "predictions"
+    )
     test = predictions.where(F.col("split") == "test")
     return {
         "classification_comparison": classification.comparison_table(predictions),
@@ -163,8 +165,8 @@ def match(
         job_embeddings = embed_text(
             jobs.select("JobID", "clean_text"), dim, key="JobID", weights=inverse_frequencies(profiles, dim=dim)
         )
-    matched = cut_lineage(infer_categories(jobs, profiles.select("Category"), aliases))
-    candidates = cut_lineage(
+    matched = written(infer_categories(jobs, profiles.select("Category"), aliases), "matched")
+    candidates = written(
         matching.rank_candidates(
             job_embeddings.join(jobs.select("JobID"), "JobID", "left_semi"),
             joined,
@@ -173,7 +175,8 @@ def match(
             category_rerank,
             category_boost,
             rerank_pool_size,
-        )
+        ),
+        "candidates",
     )
     out = {"matching_topk": matching.ranked_lists(candidates, matched, top_k, category_rerank)}
     if eval_precision_k:
@@ -208,7 +211,7 @@ def run_stage(name: str, tables: Tables, **params: Any) -> dict[str, DataFrame]:
     for stage in GROUPS[name]:
         made = STAGES[stage](known, **params.get(stage, {}))
         if stage == "preprocess":
-            made = {k: cut_lineage(v) for k, v in made.items()}
+            made = {k: written(v, k) for k, v in made.items()}
         out.update(made)
         known.update(made)
     return out

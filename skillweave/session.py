@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,8 +43,16 @@ def shared_root(spark: SparkSession) -> str:
     return _LOCAL_ROOTS[context.applicationId]
 
 
+def written(df: DataFrame, name: str = "table") -> DataFrame:
+    """``df`` as a Parquet table below the shared folder: columnar, so later reads take only their columns."""
+    spark = df.sparkSession
+    path = f"{shared_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and go on from the written copy."""
+    """Checkpoint ``df`` in the shared folder; for small derived tables used several times."""
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_root(spark))

@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
@@ -22,6 +26,8 @@ MIN_DF = 2
 MAX_FEATURES = 30_000
 NGRAMS = (1, 2)
 
+MAX_INLINE_TERMS = 100_000
+
 _DRAW_PREFIX = 4
 
 
@@ -139,17 +145,50 @@ def with_idf(vocabulary: DataFrame, n_documents: int) -> DataFrame:
     return vocabulary.withColumn("idf", F.log((1 + F.lit(float(n_documents))) / (1 + F.col("df"))) + 1)
 
 
+def _weigh_in_row(df: DataFrame, table: pa.Table) -> Callable[[Column], Column]:
+    """array<(term, tf)> to array<(term, weight)> over the terms of ``table``."""
+    shared = df.sparkSession.sparkContext.broadcast((table.column("term").to_pylist(), table.column("idf").to_pylist()))
+
+    @F.arrow_udf("array<struct<term:string,weight:double>>")
+    def weigh(counts: pa.Array) -> pa.Array:
+        known, idf = shared.value
+        entries = counts.flatten()
+        terms = entries.field("term")
+        at = pc.index_in(terms, value_set=pa.array(known, terms.type))
+        keep = pc.is_valid(at)
+        mask = keep.to_numpy(zero_copy_only=False)
+        row = np.repeat(np.arange(len(counts)), counts.value_lengths().to_numpy(zero_copy_only=False))[mask]
+        raw = entries.field("tf").filter(keep).to_numpy() * np.asarray(idf)[at.drop_null().to_numpy()]
+        length = np.sqrt(np.bincount(row, weights=raw * raw, minlength=len(counts)))
+        offsets = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(counts)))]).astype(np.int32)
+        weighted = pa.StructArray.from_arrays([terms.filter(keep), pa.array(raw / length[row])], names=["term", "weight"])
+        return pa.ListArray.from_arrays(pa.array(offsets), weighted)
+
+    return weigh
+
+
 def tfidf(
-    df: DataFrame, vocabulary: DataFrame, n_documents: int, low: int = 1, high: int = 2, key: str = "ID", text: str = "clean_text"
+    df: DataFrame,
+    vocabulary: DataFrame,
+    n_documents: int,
+    low: int = 1,
+    high: int = 2,
+    key: str = "ID",
+    text: str = "clean_text",
+    max_inline_terms: int = MAX_INLINE_TERMS,
 ) -> DataFrame:
     """(key, term, weight): tf times smooth idf, scaled to unit length per text; long form.
 
-    The vocabulary is bounded by its own limit and travels to the texts.
+    A vocabulary of checked size travels to the texts, and a text is weighted inside its row. A
+    larger one is joined to the (text, term) pairs.
     """
-    weighted = (
-        term_frequencies(df, low, high, key, text)
-        .join(F.broadcast(with_idf(vocabulary, n_documents).select("term", "idf")), "term")
-        .select(key, "term", (F.col("tf") * F.col("idf")).alias("raw"))
+    weights = with_idf(vocabulary, n_documents).select("term", "idf")
+    head = weights.limit(max_inline_terms + 1).toArrow()
+    if head.num_rows <= max_inline_terms:
+        counted = ngrams(df, low, high, key, text).select(key, term_counts(F.col("terms")).alias("_counts"))
+        return counted.select(key, F.inline(_weigh_in_row(df, head)(F.col("_counts"))))
+    weighted = lookup_join(term_frequencies(df, low, high, key, text), weights, "term", max_broadcast_rows=0).select(
+        key, "term", (F.col("tf") * F.col("idf")).alias("raw")
     )
     length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(W.partitionBy(key)))
     return weighted.withColumn("weight", F.col("raw") / length).drop("raw")

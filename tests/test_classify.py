@@ -38,6 +38,8 @@ def test_tfidf_equals_the_definition_in_both_forms(spark):
     assert sorted(rows(vocabulary)) == [("fish", 3, 4), ("red", 2, 2), ("red fish", 2, 2)]
     idf = {t: math.log(6 / (1 + d)) + 1 for t, d, _ in rows(vocabulary)}
     got = {(r["ID"], r["term"]): r["weight"] for r in features.tfidf(df, vocabulary, 5).collect()}
+    joined = {(r["ID"], r["term"]): r["weight"] for r in features.tfidf(df, vocabulary, 5, max_inline_terms=0).collect()}
+    assert joined == {k: pytest.approx(v) for k, v in got.items()}
     raw = {"fish": 2 * idf["fish"], "red": idf["red"], "red fish": idf["red fish"]}
     length = math.sqrt(sum(v * v for v in raw.values()))
     assert {k[1]: v for k, v in got.items() if k[0] == 0} == {t: pytest.approx(v / length) for t, v in raw.items()}

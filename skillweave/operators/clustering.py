@@ -21,6 +21,7 @@ from skillweave.operators.joins import for_iterations, one_row
 SEED = 42
 RESTARTS = 10
 K_MIN, K_MAX = 8, 16
+PARALLEL_RUNS = 8
 MAX_CENTRE_VALUES = 8_000_000
 
 SCORES = "k int, silhouette double, davies_bouldin double, calinski_harabasz double, inertia double"
@@ -30,23 +31,32 @@ def _vectors(df: DataFrame, vector: str) -> DataFrame:
     return df.withColumn("_features", array_to_vector(F.col(vector).cast("array<double>")))
 
 
-def _fit(points: DataFrame, k: int, seed: int, n_init: int, parallelism: int) -> KMeansModel:
-    def attempt(s: int) -> KMeansModel:
-        return KMeans(k=k, seed=s, featuresCol="_features", predictionCol="cluster_id").fit(points)
+def _fit_all(points: DataFrame, runs: list[tuple[int, int]], parallelism: int) -> dict[int, KMeansModel]:
+    """Fit every (k, seed) of ``runs``, several at a time, and keep the best of each k by inertia."""
 
-    run = inheritable_thread_target(points.sparkSession)(attempt)
-    with ThreadPool(min(parallelism, n_init)) as pool:
-        models = pool.map(run, range(seed, seed + n_init))
-    return min(models, key=lambda m: m.summary.trainingCost)
+    def attempt(run: tuple[int, int]) -> KMeansModel:
+        return KMeans(k=run[0], seed=run[1], featuresCol="_features", predictionCol="cluster_id").fit(points)
+
+    best: dict[int, KMeansModel] = {}
+    with ThreadPool(max(1, min(parallelism, len(runs)))) as pool:
+        for (k, _), model in zip(runs, pool.imap(inheritable_thread_target(points.sparkSession)(attempt), runs)):
+            if k not in best or model.summary.trainingCost < best[k].summary.trainingCost:
+                best[k] = model
+    return best
 
 
 def kmeans_fit(
-    df: DataFrame, k: int, seed: int = SEED, n_init: int = RESTARTS, vector: str = "embedding", parallelism: int = 4
+    df: DataFrame,
+    k: int,
+    seed: int = SEED,
+    n_init: int = RESTARTS,
+    vector: str = "embedding",
+    parallelism: int = PARALLEL_RUNS,
 ) -> KMeansModel:
     """Best of ``n_init`` runs by inertia; several runs share the cluster."""
     points = for_iterations(_vectors(df, vector).select("_features")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _fit(points, k, seed, n_init, parallelism)
+        return _fit_all(points, [(k, s) for s in range(seed, seed + n_init)], parallelism)[k]
     finally:
         points.unpersist()
 
@@ -86,25 +96,27 @@ def kmeans_sweep(
     n_init: int = RESTARTS,
     vector: str = "embedding",
     key: str = "ID",
-    parallelism: int = 4,
+    parallelism: int = PARALLEL_RUNS,
 ) -> tuple[DataFrame, dict[int, KMeansModel]]:
     """All quality scores for every k, and the fitted models, so the chosen one is not fitted again."""
     points = for_iterations(_vectors(df.select(key, vector), vector)).persist(StorageLevel.MEMORY_AND_DISK)
-    rows, models = [], {}
+
+    def score(k: int) -> tuple:
+        labelled = models[k].transform(points)
+        spread = quality.dispersion(labelled, "cluster_id", vector).first()
+        return (
+            k,
+            quality.silhouette(labelled, "cluster_id", vector=vector, key=key).first()["silhouette"],
+            quality.davies_bouldin(labelled, "cluster_id", vector).first()["davies_bouldin"],
+            spread["calinski_harabasz"],
+            spread["inertia"],
+        )
+
     try:
-        for k in range(k_min, k_max + 1):
-            models[k] = _fit(points, k, seed, n_init, parallelism)
-            labelled = models[k].transform(points)
-            scored = quality.dispersion(labelled, "cluster_id", vector).first()
-            rows.append(
-                (
-                    k,
-                    quality.silhouette(labelled, "cluster_id", vector=vector, key=key).first()["silhouette"],
-                    quality.davies_bouldin(labelled, "cluster_id", vector).first()["davies_bouldin"],
-                    scored["calinski_harabasz"],
-                    scored["inertia"],
-                )
-            )
+        runs = [(k, s) for k in range(k_min, k_max + 1) for s in range(seed, seed + n_init)]
+        models = _fit_all(points, runs, parallelism)
+        with ThreadPool(max(1, min(parallelism, len(models)))) as pool:
+            rows = pool.map(inheritable_thread_target(df.sparkSession)(score), sorted(models))
     finally:
         points.unpersist()
     return df.sparkSession.createDataFrame(rows, SCORES), models

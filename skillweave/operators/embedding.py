@@ -84,6 +84,8 @@ def embed_text(
         counts = np.bincount(cell, weights=sign, minlength=len(hashes) * dim).reshape(len(hashes), dim)
         return from_matrix(unit_rows(counts * idf))
 
+    # Non-deterministic to the optimiser only: it must not compute the vectors once more for a filter.
+    accumulate = accumulate.asNondeterministic()
     return df.withColumn("embedding", accumulate(hashed_terms(F.col(text), grams, term_hash))).drop(text)
 
 

@@ -23,18 +23,22 @@ from pyspark.sql import types as T
 
 from skillweave.functions.vectors import cosine, to_matrix, unit_rows
 from skillweave.operators.ranking import rank_within, top_within
+from skillweave.session import written
 
 MAX_BROADCAST_VALUES = 4_000_000
 SCALE = 1_000_000
 ITEM_CHUNK = 2048
 QUERY_CHUNK = 512
+PRUNE_FROM_TASKS = 64
+SAMPLE_SHARE = 64
+NO_FLOOR = -2.0
 
 
 class _Best:
     """The best ``k`` items so far for one block of queries."""
 
-    def __init__(self, query_ids: np.ndarray, queries: np.ndarray, k: int):
-        self.query_ids, self.queries, self.k = query_ids, unit_rows(queries), k
+    def __init__(self, query_ids: np.ndarray, queries: np.ndarray, floors: np.ndarray, k: int):
+        self.query_ids, self.queries, self.floors, self.k = query_ids, unit_rows(queries), floors, k
         self.scores: list[np.ndarray | None] = [None] * math.ceil(len(query_ids) / QUERY_CHUNK)
         self.items: list[list[np.ndarray]] = [[] for _ in self.scores]
 
@@ -70,8 +74,11 @@ class _Best:
         for b, scores in enumerate(self.scores):
             if scores is None:
                 continue
-            ids = self.query_ids[b * QUERY_CHUNK : (b + 1) * QUERY_CHUNK]
-            data = [np.repeat(ids, scores.shape[1]), *[c.reshape(-1) for c in self.items[b]], scores.reshape(-1) / SCALE]
+            block = slice(b * QUERY_CHUNK, (b + 1) * QUERY_CHUNK)
+            scaled = scores / SCALE
+            useful = scaled >= self.floors[block, None]
+            ids = np.repeat(self.query_ids[block], useful.sum(axis=1))
+            data = [ids, *[c[useful] for c in self.items[b]], scaled[useful]]
             arrays = [pa.array(values.tolist(), type=field.type) for values, field in zip(data, schema)]
             yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
@@ -98,10 +105,14 @@ def topk_cosine(
     vector: str = "embedding",
     carry: list[str] | None = None,
     max_broadcast_values: int = MAX_BROADCAST_VALUES,
+    prune_from_tasks: int | None = PRUNE_FROM_TASKS,
 ) -> DataFrame:
     """(query, item, carried columns, score, rank) for the ``k`` nearest items of every query.
 
     ``carry`` names item columns (such as the category) that come along, which saves a join back.
+    With many tasks a first pass over a hash sample of the items finds, per query, a score that ``k``
+    items reach. Nothing below it can be among the best, so tasks keep it to themselves and the
+    merge does not grow with their number.
     """
     carry = carry or []
     spark = queries.sparkSession
@@ -116,20 +127,29 @@ def topk_cosine(
     if width is None:
         return rank_within(spark.createDataFrame([], T.StructType(out)), [query_id], [F.desc("score"), F.asc(item_id)])
     block_rows = max(1, max_broadcast_values // width["width"])
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    floors = None
+    if prune_from_tasks is not None and tasks >= prune_from_tasks:
+        sample = items.where(F.pmod(F.xxhash64(item_id), F.lit(SAMPLE_SHARE)) == 0).drop(*carry)
+        reached = topk_cosine(queries, sample, k, query_id, item_id, vector, None, max_broadcast_values, None)
+        floors = written(reached.where(F.col("rank") == k).select(query_id, F.col("score").alias("_floor")), "floors")
     head = queries.limit(block_rows + 1).toArrow()
     if head.num_rows <= block_rows:
-        partial = _against_all(head, items, k, query_id, [item_id, *carry], vector, out, schema)
+        partial = _against_all(head, floors, items, k, query_id, [item_id, *carry], vector, tasks, out, schema)
     else:
-        partial = _block_against_shard(queries, items, k, query_id, [item_id, *carry], vector, block_rows, out, schema)
+        partial = _block_against_shard(
+            queries, floors, items, k, query_id, [item_id, *carry], vector, block_rows, tasks, out, schema
+        )
     return top_within(partial, [query_id], [F.desc("score"), F.asc(item_id)], k)
 
 
-def _against_all(head, items, k, query_id, columns, vector, out, schema) -> DataFrame:
+def _against_all(head, floors, items, k, query_id, columns, vector, tasks, out, schema) -> DataFrame:
     """All queries, known to be few, against every partition of the items; the items stay in place."""
     batch = head.filter(pc.is_valid(head.column(vector))).combine_chunks()
     ids = np.array(batch.column(query_id).to_pylist(), dtype=object)
-    context = items.sparkSession.sparkContext
-    shared = context.broadcast((ids, to_matrix(batch.column(vector))))
+    known = {} if floors is None else {row[0]: row[1] for row in floors.collect()}
+    lowest = np.array([known.get(i, NO_FLOOR) for i in ids.tolist()])
+    shared = items.sparkSession.sparkContext.broadcast((ids, to_matrix(batch.column(vector)), lowest))
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = _Best(*shared.value, k)
@@ -140,15 +160,14 @@ def _against_all(head, items, k, query_id, columns, vector, out, schema) -> Data
         yield from best.batches(schema)
 
     # Every task sends up to k rows per query to the merge, so their number follows the cluster, not the files.
-    tasks = max(int(items.sparkSession.conf.get("spark.sql.shuffle.partitions")), context.defaultParallelism)
     return items.coalesce(tasks).mapInArrow(score, T.StructType(out))
 
 
-def _block_against_shard(queries, items, k, query_id, columns, vector, block_rows, out, schema) -> DataFrame:
+def _block_against_shard(queries, floors, items, k, query_id, columns, vector, block_rows, tasks, out, schema) -> DataFrame:
     """Query blocks meet item shards in one shuffle; within a task the block comes first, then its shard."""
-    spark = queries.sparkSession
     n_blocks = math.ceil(queries.count() / block_rows)
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n_blocks)
+    tasks = max(tasks, n_blocks)
+    queries = queries.withColumn("_floor", F.lit(NO_FLOOR)) if floors is None else queries.join(floors, query_id, "left")
     n_shards = max(1, tasks // n_blocks)
 
     def spread(name: str, n: int):
@@ -162,6 +181,7 @@ def _block_against_shard(queries, items, k, query_id, columns, vector, block_row
         every(n_shards).alias("_shard"),
         F.lit(0).alias("_role"),
         F.col(query_id).alias("_query"),
+        F.coalesce("_floor", F.lit(NO_FLOOR)).alias("_floor"),
         F.col(vector).alias("_vector"),
     )
     right = items.select(
@@ -193,10 +213,11 @@ def _block_against_shard(queries, items, k, query_id, columns, vector, block_row
                         yield from best.batches(schema)
                     current, waiting, best = (block, shard), [], None
                 if role == 0:
-                    waiting.append((np.array(part.column("_query").to_pylist(), dtype=object), to_matrix(part.column("_vector"))))
+                    ids = np.array(part.column("_query").to_pylist(), dtype=object)
+                    waiting.append((ids, to_matrix(part.column("_vector")), part.column("_floor").to_numpy()))
                 elif waiting or best is not None:
                     if best is None:
-                        best = _Best(np.concatenate([i for i, _ in waiting]), np.concatenate([m for _, m in waiting]), k)
+                        best = _Best(*[np.concatenate(part_of) for part_of in zip(*waiting)], k)
                         waiting = []
                     best.add([_values(part, c) for c in columns], to_matrix(part.column("_vector")))
         if best is not None:

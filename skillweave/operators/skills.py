@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skillweave.functions.arrays import string_array
+from skillweave.functions.arrays import let, string_array
 from skillweave.functions.text import gram_terms, skill_normalise, strip, text_or_empty
 from skillweave.operators.joins import lookup_join
 
@@ -67,26 +67,33 @@ def _acceptable(name: Column, max_words: int) -> Column:
     return (name != "") & (F.size(F.split(name, " ")) <= max_words) & ~blocked
 
 
+def _technical(name: Column) -> Column:
+    return _acceptable(name, TECHNICAL_WORDS)
+
+
+def _soft(name: Column) -> Column:
+    return _acceptable(name, SOFT_WORDS) & ~name.isin(*SOFT_DENYLIST)
+
+
 def keep_technical(item: Column) -> Column:
-    return _acceptable(_named(item), TECHNICAL_WORDS)
+    return let(_named(item), _technical)
 
 
 def keep_soft(item: Column) -> Column:
-    name = _named(item)
-    return _acceptable(name, SOFT_WORDS) & ~name.isin(*SOFT_DENYLIST)
+    return let(_named(item), _soft)
 
 
-def _tidy(items: Column, keep: Callable[[Column], Column], limit: int) -> Column:
-    names = F.transform(F.coalesce(items, _none()), _named)
-    return F.slice(F.array_sort(F.array_distinct(F.filter(names, keep))), 1, limit)
+def _tidy(items: Column, acceptable: Callable[[Column], Column], limit: int) -> Column:
+    names = F.array_distinct(F.transform(F.coalesce(items, _none()), _named))
+    return F.slice(F.sort_array(F.filter(names, acceptable)), 1, limit)
 
 
 def clean_skills(df: DataFrame) -> DataFrame:
     """Both lists filtered, normalised, distinct, in sort order and cut to their lengths."""
     return df.withColumns(
         {
-            "technical": _tidy(F.col("technical"), keep_technical, TECHNICAL_MAX),
-            "soft": _tidy(F.col("soft"), keep_soft, SOFT_MAX),
+            "technical": _tidy(F.col("technical"), _technical, TECHNICAL_MAX),
+            "soft": _tidy(F.col("soft"), _soft, SOFT_MAX),
         }
     )
 

@@ -29,9 +29,11 @@ class SkillCache:
             return self.spark.createDataFrame([], CACHE_SCHEMA + ", batch bigint")
         return self.spark.read.schema(CACHE_SCHEMA + ", batch bigint").parquet(self.path)
 
-    def read(self, before: int | None = None) -> DataFrame:
-        """Newest lists per profile, optionally as they were before a batch."""
+    def read(self, before: int | None = None, ids: DataFrame | None = None) -> DataFrame:
+        """Newest lists per profile, optionally as they were before a batch and only of some profiles."""
         log = self._log() if before is None else self._log().where(F.col("batch") < before)
+        if ids is not None:
+            log = log.join(ids.select("ID").distinct(), "ID", "left_semi")
         newest = log.groupBy("ID").agg(F.max_by(F.struct("technical", "soft"), "batch").alias("_s"))
         return newest.select("ID", "_s.technical", "_s.soft")
 
@@ -50,7 +52,8 @@ def run_incremental(
     cache = SkillCache(stream.sparkSession, cache_dir)
 
     def step(batch: DataFrame, number: int) -> None:
-        todo = pending(batch, cache.read(before=number), refill_empty)
+        # Only the arriving profiles' entries are grouped, however long the log has become.
+        todo = pending(batch, cache.read(before=number, ids=batch), refill_empty)
         cache.append(extract(todo), number)
 
     return (

@@ -37,11 +37,14 @@ def points():
 
 
 @pytest.mark.parametrize("limit", [8_000_000, 3 * 7])
-def test_topk_equals_brute_force_on_both_paths(spark, points, limit):
+@pytest.mark.parametrize("prune", [None, 1])
+def test_topk_equals_brute_force_on_both_paths(spark, points, limit, prune):
     queries, items = points
     q = spark.createDataFrame(queries, f"JobID string, {VECTORS}")
     d = spark.createDataFrame(items, f"ID string, {VECTORS}").repartition(5)
-    found = topk_cosine(q, d, 7, max_broadcast_values=limit)
+    found = topk_cosine(q, d, 2, max_broadcast_values=limit, prune_from_tasks=prune)
+    assert rows(found, "JobID", "ID", "rank") == brute(queries, items, 2)
+    found = topk_cosine(q, d, 7, max_broadcast_values=limit, prune_from_tasks=prune)
     assert rows(found, "JobID", "ID", "rank") == brute(queries, items, 7)
 
 

@@ -20,6 +20,7 @@ SVM_ITERATIONS = 100
 TREES = 200
 MAX_DEPTH = 30
 
+# Model names and their columns in the prediction table.
 PREDICTION_COLUMNS = {"tfidf_linearsvc": "pred_tfidf", "sbert_rf": "pred_sbert_rf", "sbert_linearsvc": "pred_sbert_linearsvc"}
 
 

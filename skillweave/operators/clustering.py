@@ -22,7 +22,7 @@ SEED = 42
 RESTARTS = 10
 K_MIN, K_MAX = 8, 16
 PARALLEL_RUNS = 8
-MAX_CENTRE_VALUES = 8_000_000
+MAX_CENTRE_VALUES = 4_000_000
 
 SCORES = "k int, silhouette double, davies_bouldin double, calinski_harabasz double, inertia double"
 
@@ -70,20 +70,26 @@ def assign_nearest(points: DataFrame, centres: DataFrame, vector: str = "embeddi
 
     The centres travel to the points; their number is checked.
     """
-    table = centres.limit(MAX_CENTRE_VALUES + 1).toArrow()
+    width = centres.select(F.size("centre").alias("width")).first()["width"]
+    most = MAX_CENTRE_VALUES // width
+    table = centres.limit(most + 1).toArrow()
+    if table.num_rows > most:
+        raise ValueError(f"more than {most} centres")
     ids = np.array(table.column("cluster_id").to_pylist())
     order = np.argsort(ids, kind="stable")
     matrix = to_matrix(table.column("centre"))[order]
-    if matrix.size > MAX_CENTRE_VALUES:
-        raise ValueError("too many centres for one task")
+    at_once = max(1, MAX_CENTRE_VALUES // matrix.size)
     shared = points.sparkSession.sparkContext.broadcast((ids[order], matrix))
 
     @F.arrow_udf(T.LongType())
     def nearest(column: pa.Array) -> pa.Array:
         names, middle = shared.value
         x = to_matrix(column)
-        best = [np.argmin(np.square(middle - row).sum(axis=1)) for row in x]
-        return pa.array(names[best].astype(np.int64) if len(best) else [], pa.int64())
+        best = np.empty(len(x), dtype=np.int64)
+        for start in range(0, len(x), at_once):
+            rows = slice(start, start + at_once)
+            best[rows] = np.square(x[rows, None, :] - middle[None, :, :]).sum(axis=2).argmin(axis=1)
+        return pa.array(names[best].astype(np.int64), pa.int64())
 
     return points.withColumn(out, nearest(F.col(vector)))
 

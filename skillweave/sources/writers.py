@@ -60,7 +60,8 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
 
 
 def write_summary(summary: DataFrame, path: str, variant: str | None = None) -> None:
-    """A summary document as JSON, under its variant and as the latest one."""
+    """A summary document, a few rows in one JSON file, under its variant and as the latest one."""
+    summary = summary.coalesce(1)
     if variant:
         write_table(summary, f"{path.rstrip('/')}/variant={variant}", "json")
     write_table(summary, f"{path.rstrip('/')}/latest", "json")

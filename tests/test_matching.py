@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from skillweave.functions.vectors import cosine, l2_normalise
 from skillweave.operators import matching
 from skillweave.operators.categories import category_variants, infer_categories
-from skillweave.operators.similarity import topk_cosine
+from skillweave.operators.similarity import rank_by_cosine, score_pairs, topk_cosine
 
 VECTORS = "embedding array<double>"
 
@@ -56,6 +56,14 @@ def test_topk_with_fewer_items_than_k_and_none(spark):
     assert topk_cosine(q, d.limit(0), 9).count() == 0
 
 
+def test_given_pairs_are_scored_and_ranked(spark):
+    pairs = spark.createDataFrame(
+        [("j", "b", [1.0, 0.0], [1.0, 0.0]), ("j", "a", [1.0, 0.0], [2.0, 0.0]), ("j", "c", [1.0, 0.0], [0.0, 1.0])],
+        "JobID string, ID string, left array<double>, right array<double>",
+    )
+    assert rows(rank_by_cosine(score_pairs(pairs)), "ID", "score", "rank") == [("a", 1.0, 1), ("b", 1.0, 2), ("c", 0.0, 3)]
+
+
 def test_zero_vectors(spark):
     df = spark.createDataFrame([([0.0, 0.0], [1.0, 0.0])], "a array<double>, b array<double>")
     assert df.select(cosine(F.col("a"), F.col("b"))).first()[0] == 0.0

@@ -19,8 +19,6 @@ task. An edge is identified by 128 bits: its anchor and an independent hash of a
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -157,9 +155,9 @@ def _repeats(keyed: DataFrame) -> DataFrame:
     distinct = crossing.groupBy("anchor", "path").agg(F.count("*").alias("seen"), F.min(F.struct(*_KEY, "first", "n")).alias("at"))
     wanted = distinct.select("at.row_key", "at.text_key", F.struct("anchor", "path", "at.first", "at.n", "seen").alias("w")).groupBy(*_KEY).agg(F.collect_list("w").alias("wanted"))
     edges = written(_edges(keyed.select(*_KEY, "text").join(wanted, _KEY)), "branching-edges")
-    edges = edges.dropDuplicates(["anchor", "path", "place"])  # rows that repeat an id and its text answer twice
+    # Rows that repeat an id and its text answer twice; their edges are repeated anyway, and bits are or-ed.
     counted = edges.groupBy("anchor", "edge").agg(F.sum("seen").alias("seen")).where("seen > 1").select("anchor", "edge")
-    good = edges.join(counted, ["anchor", "edge"]).groupBy("anchor", "path").agg(F.sum(F.expr("shiftleft(1L, place)")).alias("bits"))
+    good = edges.join(counted, ["anchor", "edge"]).groupBy("anchor", "path").agg(F.bit_or(F.expr("shiftleft(1L, place)")).alias("bits"))
     parts = crossing.join(good, ["anchor", "path"]).select(*_KEY, "first", "bits")
     return whole.unionByName(parts).groupBy(*_KEY).agg(F.collect_set(F.struct("first", "bits")).alias("spans"))
 

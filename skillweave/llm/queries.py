@@ -6,10 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skillweave.llm import debruijn, digest_index, packing, simhash
+from skillweave.llm import deobfuscate, debruijn, digest_index, fertility, packing, simhash
 from skillweave.llm.common import table
 
 
+def op1_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fertility.fertility(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op2_deobfuscation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return deobfuscate.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_index.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -28,7 +36,7 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_exact_dedup, op4_substring_dedup, op6_packing, op7_simhash)}
+QUERIES = {f.__name__: f for f in (op1_fertility, op2_deobfuscation, op3_exact_dedup, op4_substring_dedup, op6_packing, op7_simhash)}
 
 ORACLES = {
     "op3_exact_dedup": r"""

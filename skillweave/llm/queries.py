@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skillweave.llm import deobfuscate, debruijn, digest_index, fertility, packing, simhash
+from skillweave.llm import chat, deobfuscate, debruijn, digest_index, fertility, packing, simhash, warc, wrapper
 from skillweave.llm.common import table
 
 
@@ -27,6 +27,11 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = warc.archive_pages(table(spark, sf_dir, "pages"))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", F.col("refers_page").alias("refers_to"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return pieces.drop("ids")
@@ -36,11 +41,40 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_fertility, op2_deobfuscation, op3_exact_dedup, op4_substring_dedup, op6_packing, op7_simhash)}
+def op8_wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrapper.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    fixed = spark.sql("SELECT -7L AS conv_id, stack(2, 0L, 'user', '</s>[INST] ok [/INST]', 1L, 'assistant', '</s>[INST] ok [/INST]') AS (turn, role, text)")
+    return chat.read_back(chat.format_conversations(given.unionByName(fixed)))
+
+
+QUERIES = {f.__name__: f for f in (op1_fertility, op2_deobfuscation, op3_exact_dedup, op4_substring_dedup, op5_warc, op6_packing, op7_simhash, op8_wrapper, op9_chat)}
 
 ORACLES = {
     "op3_exact_dedup": r"""
         WITH t AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents),
         g AS (SELECT text_sha256, min(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY text_sha256)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM t JOIN g USING (text_sha256)""",
+    "op5_warc": """
+        WITH t AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+        d AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS payload_digest FROM t),
+        g AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS top FROM d)
+        SELECT page_id, payload_bytes, payload_digest,
+            CASE WHEN payload_bytes < 1000 OR page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+            CASE WHEN payload_bytes >= 1000 AND page_id <> top THEN top END AS refers_to
+        FROM g""",
+    "op9_chat": """
+        WITH t AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+        e AS (SELECT *, length(replace(replace(replace(role || text, '&', '&amp;'), '<', '&lt;'), '[', '&lsqb;')) + 23 AS chars,
+            CASE WHEN role = 'assistant' THEN text ELSE '' END AS loss FROM t)
+        SELECT conv_id, count(*) AS n_turns,
+            sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+            sum(length(loss))::BIGINT AS loss_chars, sha256(string_agg(loss, '' ORDER BY turn, role, text)) AS loss_sha256,
+            sum(chars)::BIGINT AS formatted_chars
+        FROM e GROUP BY conv_id""",
 }

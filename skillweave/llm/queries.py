@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skillweave.llm import chat, deobfuscate, debruijn, digest_index, fertility, packing, simhash, warc, wrapper
+from skillweave.llm import chat, deobfuscate, debruijn, digest_index, fertility, packing, piece_lattice, simhash, warc, wrapper
 from skillweave.llm.common import table
 
 
@@ -51,7 +51,14 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(given.unionByName(fixed)))
 
 
-QUERIES = {f.__name__: f for f in (op1_fertility, op2_deobfuscation, op3_exact_dedup, op4_substring_dedup, op5_warc, op6_packing, op7_simhash, op8_wrapper, op9_chat)}
+def op10_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = piece_lattice.encode(table(spark, sf_dir, "documents"), path)
+    counted = encoded.select("doc_id", "n_words", (F.octet_length("ids") / 4).cast("long").alias("n_pieces"), F.crc32("ids").alias("ids_crc32"), "ids")
+    return piece_lattice.decode(counted, path).select("doc_id", "n_words", "n_pieces", "ids_crc32", F.sha2("text", 256).alias("decoded_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_fertility, op2_deobfuscation, op3_exact_dedup, op4_substring_dedup, op5_warc, op6_packing, op7_simhash, op8_wrapper, op9_chat, op10_piece_lattice)}
 
 ORACLES = {
     "op3_exact_dedup": r"""

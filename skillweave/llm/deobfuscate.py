@@ -5,16 +5,16 @@ passed it become a lattice of letters; a Viterbi decoder picks the path with the
 log-probability under a character trigram model, which is counted over all words of all documents. What remains are plain
 words, and these are scored.
 
-The scorer is a list of word and word-beginning features. Each is learnt from a bounded sample of labelled rows as a feature
-that is nearly always toxic; features are added while they explain toxic rows that those before them don't.
-A score is the probability that at least one of the features found is right.
+The scorer is a logistic regression on words and beginnings of words. It is fitted on a bounded sample of labelled rows, in which near copies
+count once, and on the features that lean most to toxic rows there.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections import Counter, defaultdict
+import zlib
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -26,10 +26,11 @@ from pyspark.sql import functions as F
 from skillweave.session import written
 
 SAMPLE_ROWS = 20_000  # labelled rows the scorer is fitted on, at most
-MIN_SUPPORT = 3
-MIN_PRECISION = 0.85
+MAX_FEATURES = 500  # of the scorer
+MIN_SUPPORT = 4
+MIN_LEAN = 5.0  # standard deviations above what the share of toxic rows predicts
+RIDGE = 0.5
 THRESHOLD = 0.7
-_BASE = 0.01
 
 # Letters with a symbol of their own in the character model, and look-alikes of letters.
 LETTERS = "abcdefghijklmnopqrstuvwxyzàáâãäåæçèéêëìíîïñòóôõöøùúûüýÿßœ"
@@ -77,11 +78,11 @@ def character_model(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, words = np.zeros(SIZE**3, np.int64), Counter()
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                words.update((text or "").lower().split())
-            if len(words) > 200_000:
-                total += gram_counts(words)
-                words = Counter()
+            for text in batch.column(0):
+                words.update((text.as_py() or "").lower().split())
+                if len(words) > 150_000:
+                    total += gram_counts(words)
+                    words = Counter()
         total += gram_counts(words)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["gram", "n"])
@@ -137,13 +138,13 @@ def restore(span: str, model: np.ndarray) -> str:
 
 def features(word: str) -> list[str]:
     """A plain word and its beginnings."""
-    return [word] + [word[:n] + "*" for n in (4, 5, 6) if len(word) >= n]
+    return [word] + [word[:n] + "*" for n in range(4, 9) if len(word) >= n]
 
 
 class Restored(dict):
     """Plain words behind a token as it stands in a text (in lower case); forgets all at ``bound`` tokens."""
 
-    def __init__(self, model: np.ndarray, view: Callable[[tuple[str, ...]], object] = lambda words: words, bound: int = 400_000):
+    def __init__(self, model: np.ndarray, view: Callable[[tuple[str, ...]], object] = lambda words: words, bound: int = 200_000):
         super().__init__()
         self.model, self.view, self.bound = model, view, bound
 
@@ -177,54 +178,67 @@ def learnable(doc_id: Column | str) -> Column:
     return F.pmod(F.crc32((F.col(doc_id) if isinstance(doc_id, str) else doc_id).cast("string")), F.lit(3)) != 1
 
 
+def signature(text: str | None) -> int:
+    """The least hash of three words in a row: near copies mostly share it, other texts do not."""
+    words = (text or "").lower().encode().split()
+    return min((zlib.crc32(b" ".join(words[i : i + 3])) for i in range(max(1, len(words) - 2))), default=0)
+
+
 def learn(docs: DataFrame, labels: DataFrame, model: np.ndarray, sample_rows: int = SAMPLE_ROWS) -> dict[str, float]:
-    """Toxic features with their precision, from at most ``sample_rows`` labelled documents.
+    """Weights of features, and the constant under the empty name, from at most ``sample_rows`` labelled documents.
 
-    The rows are those with the least hashes of their id among all that may be learnt from. Copies of a text count once.
+    The rows are those with the least hashes of their id among all that may be learnt from. Of near copies one is learnt from.
     """
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(learnable("doc_id")).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id").groupBy(F.sha2("text", 256).alias("digest")).agg(F.max("toxic").alias("toxic"), F.first("text").alias("text"))
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Restored(shared.value)
-        for batch in batches:
-            keys, toxic, found = [], [], []
-            for digest, label, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                own = {f for w in words.all(text) for f in features(w)}
-                found += own
-                keys += [digest] * len(own)
-                toxic += [label] * len(own)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(toxic, pa.int32()), pa.array(found, pa.string())], names=["digest", "toxic", "feature"])
-
-    pairs = written(texts.select("digest", F.col("toxic").cast("int"), "text").mapInArrow(run, "digest string, toxic int, feature string"), "features")
+        parts = (batch.slice(at, 100) for batch in batches for at in range(0, batch.num_rows, 100))
+        for part in parts:
+            rows = [(i, x, signature(t), sorted({f for w in words.all(t) for f in features(w)})) for i, x, t in zip(*(c.to_pylist() for c in part.columns), strict=True)]
+            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.string())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["doc_id", "toxic", "alike", "found"])
+
+    found = written(texts.select("doc_id", F.col("toxic").cast("int"), "text").mapInArrow(run, "doc_id long, toxic int, alike long, found array<string>"), "features")
+    one = found.groupBy("alike").agg(F.min("doc_id").alias("doc_id"))
+    found = written(found.join(F.broadcast(one), ["alike", "doc_id"]).dropDuplicates(["doc_id"]), "features")
+    rows = found.select("doc_id", "toxic").toPandas()
+    share = float(rows["toxic"].mean()) if len(rows) else 0.0
+    if not 0 < share < 1:
+        return {"": -4.0 if share == 0 else 4.0}
+    pairs = found.select("doc_id", "toxic", F.explode("found").alias("feature"))
     counts = pairs.groupBy("feature").agg(F.sum("toxic").alias("bad"), F.count("*").alias("n"))
-    good = counts.where((F.col("bad") >= MIN_SUPPORT) & (F.col("bad") >= MIN_PRECISION * (F.col("n") + 0.5)))
-    rows = pairs.where("toxic = 1").join(good, "feature").select("digest", "feature", "bad", "n").toPandas()
-    return _covering(rows)
-
-
-def _covering(rows: pd.DataFrame) -> dict[str, float]:
-    """Features in the order of how many texts each adds, while it adds as many as ``MIN_SUPPORT``; ties: the whole word."""
-    texts, precision = defaultdict(set), {}
-    for digest, feature, bad, n in rows.itertuples(index=False):
-        texts[feature].add(digest)
-        precision[feature] = bad / (n + 0.5)
-    chosen, covered = {}, set()
-    left = {f: len(t) for f, t in texts.items()}
-    while left:
-        top = max(left, key=lambda f: (left[f], not f.endswith("*"), precision[f], f))
-        real = len(texts[top] - covered)
-        if real < left[top]:  # counts only fall, so a count is looked at again when it is on top
-            left[top] = real
-            if real < MIN_SUPPORT:
-                del left[top]
-            continue
-        chosen[top] = precision[top]
-        covered |= texts[top]
-        del left[top]
-    return chosen
+    lean = (F.col("bad") - F.col("n") * share) / F.sqrt(F.col("n") * share * (1 - share))
+    best = counts.where(F.col("bad") >= MIN_SUPPORT).withColumn("lean", lean).where(F.col("lean") >= MIN_LEAN).orderBy(F.desc("lean"), "feature").limit(MAX_FEATURES)
+    met = pairs.join(F.broadcast(best.select("feature")), "feature").select("doc_id", "feature").toPandas()
+    return _fit(rows, met)
+
+
+def _fit(rows: pd.DataFrame, met: pd.DataFrame) -> dict[str, float]:
+    """Ridge logistic regression by Newton steps; the constant is not drawn to zero."""
+    names = sorted(set(met["feature"]))
+    x = np.zeros((len(rows), len(names) + 1), np.float32)
+    x[:, -1] = 1
+    at = {d: i for i, d in enumerate(rows["doc_id"])}
+    column = {f: j for j, f in enumerate(names)}
+    x[met["doc_id"].map(at).to_numpy(int), met["feature"].map(column).to_numpy(int)] = 1
+    y = rows["toxic"].to_numpy(np.float32)
+    w = np.zeros(x.shape[1])
+    w[-1] = math.log(y.mean() / (1 - y.mean()))
+    ridge = np.full(len(w), RIDGE)
+    ridge[-1] = 1e-6
+    for _ in range(25):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        gradient = x.T @ (y - p) - ridge * w
+        hessian = (x * (p * (1 - p))[:, None].astype(np.float32)).T @ x + np.diag(ridge)
+        move = np.linalg.solve(hessian, gradient)
+        w += move
+        if np.abs(move).max() < 1e-4:
+            break
+    return {f: float(w[j]) for f, j in column.items()} | {"": float(w[-1])}
 
 
 def scorer(docs: DataFrame, labels: DataFrame) -> Callable[[Column | str], Column]:
@@ -248,7 +262,7 @@ def scorer(docs: DataFrame, labels: DataFrame) -> Callable[[Column | str], Colum
                 found = {f for x in map(words.__getitem__, set(low.split())) if x for f in x}
                 for word in words.spaced(low):
                     found.update(hits((word,)) or ())
-                out.append(1.0 - (1.0 - _BASE) * math.prod(1.0 - weights[f] for f in found))
+                out.append(1.0 / (1.0 + math.exp(-max(-30.0, min(30.0, weights[""] + sum(weights[f] for f in sorted(found)))))))
             yield pd.Series(out, dtype="float64")
 
     return score
@@ -257,8 +271,8 @@ def scorer(docs: DataFrame, labels: DataFrame) -> Callable[[Column | str], Colum
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Every row as ``doc_id, held_out, score, predicted``.
 
-    A null or empty text has no feature and gets the least score, as do texts without letters. Null labels and labels of ids that
-    are not there teach nothing; without toxic labels every score is the least. A null id is not held out. Of labels that disagree
+    A null or empty text has no feature and gets the score of the constant alone, as do texts without letters. Null labels and labels of ids that
+    are not there teach nothing; with labels of one kind only every score is the same. A null id is not held out. Of labels that disagree
     the toxic one counts. Repeated rows get equal scores; an empty table gives an empty result; other columns are ignored.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

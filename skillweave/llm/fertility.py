@@ -114,10 +114,14 @@ def entropy(ids: np.ndarray) -> float:
     return float(-(p * np.log2(p)).sum()) + 0.0
 
 
-def measure(text: str | None, pieces: Pieces, bands: dict[str, tuple[float, float, float, float]] = BANDS) -> tuple:
-    text = text or ""
-    words = text.encode().split()
-    pieces.learn(set(words))
+def measure_all(texts: list[str | None], pieces: Pieces, bands: dict[str, tuple[float, float, float, float]] = BANDS) -> list[tuple]:
+    """The columns of ``SCHEMA`` behind the id, for some texts whose new words are learnt together."""
+    words = [(t or "").encode().split() for t in texts]
+    pieces.learn(set().union(*words))
+    return [measure(t or "", w, pieces, bands) for t, w in zip(texts, words, strict=True)]
+
+
+def measure(text: str, words: list[bytes], pieces: Pieces, bands: dict[str, tuple[float, float, float, float]]) -> tuple:
     numbers = np.fromiter(map(pieces.__getitem__, words), np.int64, len(words))
     repeats = repeated_words(numbers)
     failed = len(words) < MIN_WORDS or 100 * repeats > REPEATED_PERCENT * len(words)
@@ -142,9 +146,10 @@ def fertility(docs: DataFrame, model_path: str, bands: dict[str, tuple[float, fl
 
     def run(batches):
         pieces = Pieces(model_path)
-        for batch in batches:
-            rows = [measure(t, pieces, bands) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True))], names=names)
+        parts = (batch.slice(at, 500) for batch in batches for at in range(0, batch.num_rows, 500))
+        for part in parts:
+            rows = measure_all(part.column(1).to_pylist(), pieces, bands)
+            yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True))], names=names)
 
     names = [part.split()[0] for part in SCHEMA.split(", ")]
     kinds = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.string(), pa.int64()] + [pa.float64()] * 3

@@ -9,6 +9,7 @@ only where none has room for the whole piece it is cut. Nothing is shuffled, and
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -33,6 +34,7 @@ class WordIds(dict):
 
     def __init__(self, path: str, bound: int = 400_000):
         super().__init__()
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)

@@ -29,7 +29,7 @@ SAMPLE_ROWS = 20_000  # labelled rows the scorer is fitted on, at most
 MAX_FEATURES = 500  # of the scorer
 MIN_SUPPORT = 4
 MIN_LEAN = 5.0  # standard deviations above what the share of toxic rows predicts
-RIDGE = 0.5
+RIDGE = 0.05
 THRESHOLD = 0.7
 
 # Letters with a symbol of their own in the character model, and look-alikes of letters.

@@ -12,6 +12,7 @@ file of another type is read as such a table of pieces and scores too.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -32,6 +33,9 @@ _NORMAL, _BYTE = (1, 4), 6
 _LETTER = "A-Za-zÀ-ÖØ-öø-ɏͰ-ϿЀ-ӿ"
 _WORD = re.compile(f"{SPACE}*[{_LETTER}]+|{SPACE}*[^{_LETTER}{SPACE}]+|{SPACE}+")
 _COARSE = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+_TOKEN = re.compile(" *[^ ]+| +")
+WORDS_PER_TASK = 20_000
+MAX_TASKS = 20_000
 
 
 class Model:
@@ -63,7 +67,11 @@ class Model:
         self.words = _COARSE if steps & {(1, 2), (2, 1)} else _WORD
 
     def split(self, text: str) -> list[str]:
-        return self.words.findall(SPACE + text.replace(" ", SPACE)) if text else []
+        """The words of a text, in a row."""
+        return [word for token in tokens(text) for word in self.parts(token)]
+
+    def parts(self, token: str) -> list[str]:
+        return self.words.findall(SPACE + token.replace(" ", SPACE))
 
     def best(self, word: str) -> list[int]:
         """The fold over one word; characters that are no piece come as minus their code point minus one."""
@@ -97,6 +105,14 @@ class Model:
         return self.flat[np.repeat(self.start[ids], count) + at].tobytes().decode(errors="replace").removeprefix(" ")
 
 
+def tokens(text: str) -> list[str]:
+    """What stands behind single spaces, the one in front of the text included; a longer run leads its token."""
+    if not text:
+        return []
+    found = text.split(" ")
+    return [t[1:] for t in _TOKEN.findall(" " + text)] if "" in found else found
+
+
 def piece_table(spark: SparkSession, model: Model) -> DataFrame:
     """``piece, id, score``: as large as the vocabulary, whatever the corpus."""
     return spark.createDataFrame([(p, i, s) for p, (i, s) in model.pieces.items()], "piece string, id int, score float")
@@ -145,28 +161,36 @@ def _blocks(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, chars = TaskContext.get().partitionId() << 32, 0
-        keys, counts, numbers, known = [], [], [], {}
+        keys, held, known = [], [], {}
 
         def close() -> pa.RecordBatch:
-            raw = np.concatenate(numbers).astype("<u4" if len(known) > 1 << 16 else "<u2").tobytes()
+            words: dict[str, int] = {}
+            parts = [[words.setdefault(w, len(words)) for w in model.parts(token)] for token in known]
+            count = np.array([len(p) for p in parts], np.int64)
+            flat = np.array([w for p in parts for w in p], np.uint32)
+            at = np.concatenate(held).astype(np.int64)
+            each, begin = count[at] if len(at) else at, (np.cumsum(count) - count)[at] if len(at) else at
+            numbers = flat[np.repeat(begin, each) + np.arange(int(each.sum())) - np.repeat(np.cumsum(each) - each, each)]
+            total = np.r_[0, np.cumsum(each)]
+            counts = np.diff(total[np.r_[0, np.cumsum([len(h) for h in held])]])
+            raw = numbers.astype("<u4" if len(words) > 1 << 16 else "<u2").tobytes()
             return pa.RecordBatch.from_arrays(
-                [pa.array([block]), pa.array([keys], pa.list_(pa.int64())), pa.array([counts], pa.list_(pa.int64())), pa.array([list(known)], pa.list_(pa.string())), pa.array([raw], pa.binary())],
+                [pa.array([block]), pa.array([keys], pa.list_(pa.int64())), pa.array([counts.tolist()], pa.list_(pa.int64())), pa.array([list(words)], pa.list_(pa.string())), pa.array([raw], pa.binary())],
                 names=["block", "doc_ids", "counts", "words", "numbers"],
             )
 
         for batch in batches:
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                words = model.split(text or "")
-                for word in set(words) - known.keys():
-                    known[word] = len(known)
-                numbers.append(np.fromiter(map(known.__getitem__, words), np.uint32, len(words)))
+                found = tokens(text or "")
+                for token in set(found) - known.keys():
+                    known[token] = len(known)
+                held.append(np.fromiter(map(known.__getitem__, found), np.uint32, len(found)))
                 keys.append(key)
-                counts.append(len(words))
                 chars += len(text or "")
                 if len(known) >= BLOCK_WORDS or chars >= BLOCK_CHARS:
                     yield close()
                     block, chars = block + 1, 0
-                    keys, counts, numbers, known = [], [], [], {}
+                    keys, held, known = [], [], {}
         if keys:
             yield close()
 
@@ -181,7 +205,9 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
     model = Model(model_path)
     blocks = written(_blocks(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")), model), "blocks")
     used = blocks.select("block", F.posexplode("words").alias("pos", "word"))
-    known = written(encode_words(used.groupBy("word").agg(F.lit(1).alias("one")).select("word"), model), "word-pieces")
+    words = written(used.groupBy("word").agg(F.lit(1).alias("one")).select("word"), "words")
+    tasks = min(MAX_TASKS, max(1, math.ceil(words.count() / WORDS_PER_TASK)))  # the lattices of a task fit its memory
+    known = written(encode_words(words.repartition(tasks, "word"), model), "word-pieces")
     slices = used.join(known, "word").groupBy("block").agg(F.collect_list(F.struct("pos", "pieces")).alias("slice"))
     met = blocks.select("block", "doc_ids", "counts", "numbers").join(slices, "block", "left")
 

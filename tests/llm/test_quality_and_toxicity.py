@@ -85,7 +85,8 @@ def corpus(spark):
     for i in range(600):
         words = list(rng.choice(plain, 40))
         if toxic := i % 5 == 0:
-            words[5], words[20] = rng.choice(bad, 2, replace=False)
+            words[5] = rng.choice(bad)
+            words[20] = rng.choice(bad) if i % 2 else words[20]
         rows.append((i, " ".join(words)))
         labels.append((i, 1, int(toxic)))
     return spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")

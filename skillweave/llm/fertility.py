@@ -58,7 +58,7 @@ class Pieces(dict):
         self.chars: np.ndarray = np.zeros(0, np.int64)
 
     def learn(self, words: set[bytes]) -> None:
-        new = list(words - self.keys())
+        new = [w for w in words if w not in self]
         if self and len(self) + len(new) > self.bound:
             self.forget()
             new = list(words)

@@ -46,7 +46,7 @@ class WordIds(dict):
 
     def of(self, text: str) -> np.ndarray:
         words = _SPACE.split(text)
-        new = list(set(words) - self.keys())
+        new = [w for w in set(words) if w not in self]
         if len(self) + len(new) > self.bound:
             self.clear()
             new = list(set(words))

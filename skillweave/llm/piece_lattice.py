@@ -182,8 +182,9 @@ def _blocks(docs: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 found = tokens(text or "")
-                for token in set(found) - known.keys():
-                    known[token] = len(known)
+                for token in set(found):
+                    if token not in known:
+                        known[token] = len(known)
                 held.append(np.fromiter(map(known.__getitem__, found), np.uint32, len(found)))
                 keys.append(key)
                 chars += len(text or "")

@@ -64,6 +64,11 @@ def split_quotas(counts: DataFrame, label: str, test: float = TEST_SHARE, valida
     )
 
 
+def _named_labels(df: DataFrame, label: str) -> DataFrame:
+    """A missing label is a class of its own, under the name that a missing text has in tables read from CSV."""
+    return df.fillna("nan", [label])
+
+
 def stratified_split(
     df: DataFrame,
     label: str = "Category",
@@ -78,6 +83,7 @@ def stratified_split(
     the digits of such an end are ranked, so a label with a third of all rows is never sorted in
     one task.
     """
+    df = _named_labels(df, label)
     drawn = df.withColumn("_draw", F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed))))).withColumn(
         "_slot", F.substring("_draw", 1, _DRAW_PREFIX)
     )
@@ -221,11 +227,13 @@ def fit_tfidf(
 
 def class_weights(df: DataFrame, label: str = "Category") -> DataFrame:
     """(label, n, weight): rows over classes times rows of the class."""
+    df = _named_labels(df, label)
     counts = df.groupBy(label).agg(F.count("*").alias("n"))
     everything = W.partitionBy(F.lit(1))  # one row per label
     return counts.withColumn("weight", F.sum("n").over(everything) / (F.count("*").over(everything) * F.col("n")))
 
 
 def with_class_weights(df: DataFrame, label: str = "Category", out: str = "weight") -> DataFrame:
+    df = _named_labels(df, label)
     weights = cut_lineage(class_weights(df, label).select(label, F.col("weight").alias(out)))
     return lookup_join(df, weights, label)

@@ -132,7 +132,8 @@ def topk_cosine(
     if prune_from_tasks is not None and tasks >= prune_from_tasks:
         sample = items.where(F.pmod(F.xxhash64(item_id), F.lit(SAMPLE_SHARE)) == 0).drop(*carry)
         reached = topk_cosine(queries, sample, k, query_id, item_id, vector, None, max_broadcast_values, None)
-        floors = written(reached.where(F.col("rank") == k).select(query_id, F.col("score").alias("_floor")), "floors")
+        # One rounding step lower: a product in blocks of another shape may round the same score down.
+        floors = written(reached.where(F.col("rank") == k).select(query_id, (F.col("score") - 1e-6).alias("_floor")), "floors")
     head = queries.limit(block_rows + 1).toArrow()
     if head.num_rows <= block_rows:
         partial = _against_all(head, floors, items, k, query_id, [item_id, *carry], vector, tasks, out, schema)

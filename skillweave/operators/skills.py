@@ -49,9 +49,13 @@ def extract_json_block(col: Column) -> Column:
 
 
 def parse_skill_response(df: DataFrame, key: str = "ID", raw: str = "response") -> DataFrame:
-    """(key, technical, soft) of a JSON answer; whatever is no list becomes an empty one."""
-    parsed = F.from_json(extract_json_block(text_or_empty(F.col(raw))), SKILLS_TYPE)
-    return df.select(key, parsed.alias("_p")).select(
+    """(key, technical, soft) of a JSON answer; whatever is no list becomes an empty one.
+
+    The block is read as the only element of an array: text behind its closing brace makes it invalid.
+    """
+    block = F.concat(F.lit("["), extract_json_block(text_or_empty(F.col(raw))), F.lit("]"))
+    parsed = F.from_json(block, "array<struct<technical: array<string>, soft: array<string>>>", {"allowSingleQuotes": "false"})
+    return df.select(key, F.when(F.size(parsed) == 1, F.get(parsed, F.lit(0))).alias("_p")).select(
         key, F.coalesce("_p.technical", _none()).alias("technical"), F.coalesce("_p.soft", _none()).alias("soft")
     )
 

@@ -341,7 +341,7 @@ def incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Baskets: the part types of every order; an order without lines is an empty basket.
 BASKET_SQL = """
-pair AS (SELECT DISTINCT l.l_orderkey AS id, p.p_type AS item FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey),
+pair AS MATERIALIZED (SELECT DISTINCT l.l_orderkey AS id, p.p_type AS item FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey),
 total AS (SELECT count(*)::DOUBLE AS n FROM orders),
 one AS (SELECT [item] AS items, count(*) AS freq FROM pair GROUP BY item),
 two AS (SELECT [a.item, b.item] AS items, count(*) AS freq FROM pair a JOIN pair b ON a.id = b.id AND a.item < b.item GROUP BY 1),
@@ -354,7 +354,7 @@ five AS (SELECT [a.item, b.item, c.item, d.item, e.item] AS items, count(*) AS f
 six AS (SELECT list(item ORDER BY item) AS items, count(*) AS freq FROM (SELECT id, list(item ORDER BY item) AS l FROM pair GROUP BY id HAVING count(*) = 6), unnest(l) AS u(item)
   GROUP BY id),
 sixth AS (SELECT items, count(*) AS freq FROM six GROUP BY items),
-itemset AS (
+itemset AS MATERIALIZED (
   SELECT items, freq, freq / n AS support FROM (SELECT * FROM one UNION ALL SELECT * FROM two UNION ALL SELECT * FROM three
     UNION ALL SELECT * FROM four UNION ALL SELECT * FROM five UNION ALL SELECT * FROM sixth), total WHERE freq / n >= 0.05)"""
 

@@ -73,3 +73,12 @@ def test_three_classifiers_learn(spark):
     assert all(r["accuracy"] > 0.9 for r in accuracy(predictions, ["model"]).collect())
     assert classify.comparison_table(predictions).count() == 6
     assert classify.side_by_side(predictions.where("split = 'test'")).count() == 23
+
+
+def test_split_and_weights_keep_rows_without_label(spark):
+    from skillweave.operators.features import stratified_split, with_class_weights
+
+    df = spark.createDataFrame([(i, None if i % 10 == 0 else "a" if i % 2 else "b") for i in range(100)], "ID long, Category string")
+    assert stratified_split(df).count() == 100
+    weighted = with_class_weights(df)
+    assert weighted.count() == 100 and weighted.where("Category = 'nan'").count() == 10

@@ -136,3 +136,12 @@ def test_skill_map_file(spark, tmp_path):
     assert read_skill_map(spark, str(path)).count() == 0
     path.write_text('{"7": {"technical": ["sql"], "soft": []},\n "8": {"soft": ["calm"]}}')
     assert rows(read_skill_map(spark, str(path))) == [("7", ["sql"], []), ("8", [], ["calm"])]
+
+
+def test_answers_that_are_not_json_are_empty(spark):
+    forms = ["{'technical': ['python'], 'soft': ['calm']}", '{"technical": ["a"], "soft": []} and also {"x": 1}', '{"technical": ["a"]', '{"technical": ["a"], "soft": ["b"]} thanks']
+    df = spark.createDataFrame(list(enumerate(forms)), "ID int, response string")
+    from skillweave.operators.skills import parse_skill_response
+
+    got = {r.ID: (r.technical, r.soft) for r in parse_skill_response(df).collect()}
+    assert got == {0: ([], []), 1: ([], []), 2: ([], []), 3: (["a"], ["b"])}

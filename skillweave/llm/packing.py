@@ -25,6 +25,7 @@ GROUP_TOKENS = 256 * CAPACITY
 LINEAR = 1.0
 QUADRATIC = 1.0 / 4096
 END = 2
+_MARKS = frozenset(".,;:!?")
 _SPACE = re.compile("[\x20\x09-\x0d]+")
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
 
@@ -39,10 +40,34 @@ class WordIds(dict):
 
         self.tokenizer = Tokenizer.from_file(path)
         self.bound = bound
+        size = self.tokenizer.get_vocab_size()
+        self.ends = np.array([self.tokenizer.id_to_token(i).endswith("</w>") for i in range(size)])
+        self.marks = {m: np.array(self.tokenizer.encode(m, add_special_tokens=False).ids, "<u4").tobytes() for m in _MARKS}
 
     def learn(self, words: list[str]) -> None:
-        for word, found in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False), strict=True):
+        """Plain Latin words, with at most one mark behind them, are encoded in one call, as each of them ends where a piece ends a word."""
+        plain: dict[str, str] = {}
+        other = []
+        for word in words:
+            core = word[:-1] if word[-1:] in _MARKS else word
+            low = core.lower()
+            if low.isalpha() and max(low) < "\u0250":
+                plain[word] = low
+            else:
+                other.append(word)
+        new = [w for w in {*plain.values()} if w not in self]
+        if new:
+            ids = np.array(self.tokenizer.encode(" ".join(new), add_special_tokens=False).ids, "<u4")
+            ends = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            if len(ends) == len(new):
+                raw = ids.tobytes()
+                self.update(zip(new, (raw[4 * i : 4 * j] for i, j in zip([0, *ends], ends)), strict=True))
+            else:
+                other += new
+        for word, found in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True):
             self[word] = np.array(found.ids, "<u4").tobytes()
+        for word, low in plain.items():
+            self[word] = self[low] if word[-1:] not in _MARKS else self[low] + self.marks[word[-1]]
 
     def of(self, text: str) -> np.ndarray:
         words = _SPACE.split(text)

@@ -225,3 +225,10 @@ def test_components_of_a_chain(spark):
     chain = spark.range(200).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     assert {(r.node, r.root) for r in components(chain).collect()} == {(i, 0) for i in range(1, 201)}
     assert components(chain.where("a < 0")).count() == 0
+
+
+def test_ids_of_words_equal_the_tokenizer():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    words = packing.WordIds(path)
+    for text in ["", " ", "The the, THE. don't it's I'm! x1 ²a naïve Straße İstanbul ΣΑΣ éa. a.. b!? 'tis", "Éa éa! <|endoftext|> 日本, l'été a b c", "ſt ŉa Ǆ ß ÿ."]:
+        assert words.of(text).tolist() == words.tokenizer.encode(text, add_special_tokens=False).ids

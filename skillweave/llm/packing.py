@@ -10,9 +10,9 @@ only where none has room for the whole piece it is cut. Nothing is shuffled, and
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +26,6 @@ LINEAR = 1.0
 QUADRATIC = 1.0 / 4096
 END = 2
 _MARKS = frozenset(".,;:!?")
-_SPACE = re.compile("[\x20\x09-\x0d]+")
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
@@ -44,41 +43,48 @@ class WordIds(dict):
         self.ends = np.array([self.tokenizer.id_to_token(i).endswith("</w>") for i in range(size)])
         self.marks = {m: np.array(self.tokenizer.encode(m, add_special_tokens=False).ids, "<u4").tobytes() for m in _MARKS}
 
-    def learn(self, words: list[str]) -> None:
+    def learn(self, given: list[bytes]) -> None:
         """Plain Latin words, with at most one mark behind them, are encoded in one call, as each of them ends where a piece ends a word."""
         plain: dict[str, str] = {}
         other = []
-        for word in words:
+        for word in map(bytes.decode, given):
             core = word[:-1] if word[-1:] in _MARKS else word
             low = core.lower()
             if low.isalpha() and max(low) < "\u0250":
                 plain[word] = low
             else:
                 other.append(word)
-        new = [w for w in {*plain.values()} if w not in self]
+        new = [w for w in {*plain.values()} if w.encode() not in self]
         if new:
             ids = np.array(self.tokenizer.encode(" ".join(new), add_special_tokens=False).ids, "<u4")
             ends = (np.flatnonzero(self.ends[ids]) + 1).tolist()
             if len(ends) == len(new):
                 raw = ids.tobytes()
-                self.update(zip(new, (raw[4 * i : 4 * j] for i, j in zip([0, *ends], ends)), strict=True))
+                self.update(zip(map(str.encode, new), (raw[4 * i : 4 * j] for i, j in zip([0, *ends], ends)), strict=True))
             else:
                 other += new
         for word, found in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True):
-            self[word] = np.array(found.ids, "<u4").tobytes()
+            self[word.encode()] = np.array(found.ids, "<u4").tobytes()
         for word, low in plain.items():
-            self[word] = self[low] if word[-1:] not in _MARKS else self[low] + self.marks[word[-1]]
+            ids = self[low.encode()]
+            self[word.encode()] = ids if word[-1:] not in _MARKS else ids + self.marks[word[-1]]
 
     def of(self, text: str) -> np.ndarray:
-        words = _SPACE.split(text)
+        words = text.encode().split()
         new = [w for w in set(words) if w not in self]
-        if len(self) + len(new) > self.bound:
+        if len(self) + 2 * len(new) > self.bound:
             self.clear()
             new = list(set(words))
         self.learn(new)
         return np.frombuffer(b"".join(map(self.__getitem__, words)), "<u4")
 
 
+@lru_cache(maxsize=1)
+def word_ids(path: str) -> WordIds:
+    """One cache for all tasks of a worker."""
+    return WordIds(path)
+
+
 def capacities(tokens: int, capacity: int = CAPACITY) -> list[int]:
     """Full sequences, then the binary digits of what is left, largest first."""
     rest = tokens % capacity
@@ -118,7 +124,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(tokenizer_path)
+        words = word_ids(tokenizer_path)
         keys: list[int | None] = []
         held: list[np.ndarray] = []
         tokens, base = 0, TaskContext.get().partitionId() << 32

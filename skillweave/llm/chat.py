@@ -66,8 +66,9 @@ def best_branches(messages: DataFrame, branches: int = 1) -> DataFrame:
     limit = max(1, jump.where("up IS NOT NULL").count()).bit_length() + 1
     while len(rounds) <= limit and not jump.where("up IS NOT NULL").isEmpty():
         far = jump.select(F.col("tree_id").alias("t"), F.col("node_id").alias("n"), F.col("up").alias("further"), F.col("steps").alias("more"), F.col("total").alias("sum"))
-        met = jump.join(far, same & (F.col("up") == F.col("n")), "left")
-        jump = written(met.select("tree_id", "node_id", F.col("further").alias("up"), (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"), (F.col("total") + F.coalesce("sum", F.lit(0.0))).alias("total")), "jumps")
+        met = jump.where("up IS NOT NULL").join(far, same & (F.col("up") == F.col("n")), "left")
+        moved = met.select("tree_id", "node_id", F.col("further").alias("up"), (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"), (F.col("total") + F.coalesce("sum", F.lit(0.0))).alias("total"))
+        jump = written(moved.unionByName(jump.where("up IS NULL")), "jumps")
         rounds.append(jump)
     rooted = rounds[-1].where("up IS NULL").select("tree_id", "node_id", F.col("steps").alias("depth"), "total")
     parents = rounds[0].where("up IS NOT NULL").select(F.col("tree_id").alias("t"), F.col("up").alias("n")).distinct()

@@ -10,6 +10,7 @@ only where none has room for the whole piece it is cut. Nothing is shuffled, and
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -25,49 +26,50 @@ GROUP_TOKENS = 256 * CAPACITY
 LINEAR = 1.0
 QUADRATIC = 1.0 / 4096
 END = 2
-_MARKS = frozenset(".,;:!?")
+_LATIN = "a-zß-öø-ɏ"
+_SIGNS = r"!-&(-/:;=-@\[-`{-~"  # ASCII without apostrophe and <
+_PLAIN = re.compile(f"[{_LATIN}0-9{_SIGNS}]+")
+_PARTS = re.compile(f"[{_LATIN}]+|[0-9]|[{_SIGNS}]+")
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
 class WordIds(dict):
-    """Ids of words between ASCII white space, which the tokenizer never joins; at most ``bound`` words are held."""
+    """Ids of words between ASCII white space, which the tokenizer never joins; at most ``bound`` words are held.
+
+    A plain word falls into runs of Latin letters, digits and runs of ASCII signs, as the tokenizer cuts it; the model is asked for each such
+    part. A word with anything else (an apostrophe, other scripts, the start of a special token) goes through the whole tokenizer.
+    """
 
     def __init__(self, path: str, bound: int = 400_000):
         super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.bound = bound
-        size = self.tokenizer.get_vocab_size()
-        self.ends = np.array([self.tokenizer.id_to_token(i).endswith("</w>") for i in range(size)])
-        self.marks = {m: np.array(self.tokenizer.encode(m, add_special_tokens=False).ids, "<u4").tobytes() for m in _MARKS}
+        cut = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.bytes_of = {c: cut.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x250)}
+
+    def part(self, part: str) -> bytes:
+        key = part.encode()
+        found = self.get(key)
+        if found is None:
+            raw = part if part.isascii() else part.translate(self.bytes_of)
+            found = self[key] = np.array([t.id for t in self.model.tokenize(raw)], "<u4").tobytes()
+        return found
 
     def learn(self, given: list[bytes]) -> None:
-        """Plain Latin words, with at most one mark behind them, are encoded in one call, as each of them ends where a piece ends a word."""
-        plain: dict[str, str] = {}
         other = []
-        for word in map(bytes.decode, given):
-            core = word[:-1] if word[-1:] in _MARKS else word
-            low = core.lower()
-            if low.isalpha() and max(low) < "\u0250":
-                plain[word] = low
+        for word in given:
+            low = word.decode().lower()
+            if _PLAIN.fullmatch(low):
+                self[word] = b"".join(map(self.part, _PARTS.findall(low)))
             else:
                 other.append(word)
-        new = [w for w in {*plain.values()} if w.encode() not in self]
-        if new:
-            ids = np.array(self.tokenizer.encode(" ".join(new), add_special_tokens=False).ids, "<u4")
-            ends = (np.flatnonzero(self.ends[ids]) + 1).tolist()
-            if len(ends) == len(new):
-                raw = ids.tobytes()
-                self.update(zip(map(str.encode, new), (raw[4 * i : 4 * j] for i, j in zip([0, *ends], ends)), strict=True))
-            else:
-                other += new
-        for word, found in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True):
-            self[word.encode()] = np.array(found.ids, "<u4").tobytes()
-        for word, low in plain.items():
-            ids = self[low.encode()]
-            self[word.encode()] = ids if word[-1:] not in _MARKS else ids + self.marks[word[-1]]
+        for word, found in zip(other, self.tokenizer.encode_batch_fast([*map(bytes.decode, other)], add_special_tokens=False), strict=True):
+            self[word] = np.array(found.ids, "<u4").tobytes()
 
     def of(self, text: str) -> np.ndarray:
         words = text.encode().split()

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from skillweave.functions.text import ENGLISH_STOPWORDS, clean_tokens
 from skillweave.operators.joins import lookup_join
-from skillweave.session import cut_lineage
+from skillweave.session import written
 
 MAX_INLINE_LEMMAS = 200_000
 
@@ -66,13 +66,18 @@ def lemmatise(
     """``df`` with every token replaced by its lemma; without a table one is built from the corpus.
 
     A table of checked size goes to the tasks and the rows stay in place. A larger one is joined:
-    only the distinct tokens it may change are exploded, and ``key`` must then identify a row.
+    only the distinct tokens it may change are exploded, and ``key`` must then identify a row. Of several lemmas that a given
+    table has for a surface the shortest counts, then the first in sort order.
     """
-    table = build_lemmas(df, tokens) if lemmas is None else lemmas.select("surface", "lemma")
+    if lemmas is None:
+        table = build_lemmas(df, tokens)
+    else:
+        named = lemmas.where("surface IS NOT NULL AND lemma IS NOT NULL")
+        table = named.groupBy("surface").agg(F.min_by("lemma", F.struct(F.length("lemma"), "lemma")).alias("lemma"))
     head = table.limit(max_inline_lemmas + 1).toArrow()
     if head.num_rows <= max_inline_lemmas:
         return _lemmatise_inline(df, tokens, head)
-    return _lemmatise_by_join(df, tokens, cut_lineage(table), key, any_token=lemmas is not None)
+    return _lemmatise_by_join(df, tokens, written(table, "lemmas"), key, any_token=lemmas is not None)
 
 
 def _lemmatise_inline(df: DataFrame, tokens: str, table: pa.Table) -> DataFrame:

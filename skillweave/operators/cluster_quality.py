@@ -94,7 +94,7 @@ def davies_bouldin(df: DataFrame, label: str, vector: str = "embedding") -> Data
 
 
 def silhouette_points(
-    df: DataFrame, label: str, sample: int | None = SILHOUETTE_SAMPLE, vector: str = "embedding", key: str = "ID"
+    df: DataFrame, label: str, sample: int = SILHOUETTE_SAMPLE, vector: str = "embedding", key: str = "ID"
 ) -> DataFrame:
     """(key, label, a, b, silhouette) for a sample of at most ``sample`` points, Euclidean.
 
@@ -146,7 +146,7 @@ def silhouette_points(
     return points.mapInArrow(measure, "key string, label string, a double, b double, silhouette double")
 
 
-def silhouette(df: DataFrame, label: str, sample: int | None = SILHOUETTE_SAMPLE, vector: str = "embedding", key: str = "ID") -> DataFrame:
+def silhouette(df: DataFrame, label: str, sample: int = SILHOUETTE_SAMPLE, vector: str = "embedding", key: str = "ID") -> DataFrame:
     return silhouette_points(df, label, sample, vector, key).agg(F.avg("silhouette").alias("silhouette"))
 
 

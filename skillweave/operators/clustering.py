@@ -68,30 +68,40 @@ def kmeans_assign(model: KMeansModel, df: DataFrame, vector: str = "embedding")
 def assign_nearest(points: DataFrame, centres: DataFrame, vector: str = "embedding", out: str = "cluster_id") -> DataFrame:
     """``points`` with the id of the nearest row of ``centres`` (cluster_id, centre), the lower id on ties.
 
-    The centres travel to the points; their number is checked.
+    The centres travel to the points in blocks of bounded size, in the order of their ids; a point without a vector gets no id.
     """
     width = centres.select(F.size("centre").alias("width")).first()["width"]
-    most = MAX_CENTRE_VALUES // width
-    table = centres.limit(most + 1).toArrow()
-    if table.num_rows > most:
-        raise ValueError(f"more than {most} centres")
-    ids = np.array(table.column("cluster_id").to_pylist())
-    order = np.argsort(ids, kind="stable")
-    matrix = to_matrix(table.column("centre"))[order]
+    most = max(1, MAX_CENTRE_VALUES // width)
+    best, rest = None, centres.select("cluster_id", "centre")
+    while (block := rest.orderBy("cluster_id").limit(most).toArrow()).num_rows:
+        found = _nearest_of(points, block)(F.col(vector))
+        best = found if best is None else F.least(best, found)
+        if block.num_rows < most:
+            break
+        rest = centres.select("cluster_id", "centre").where(F.col("cluster_id") > block.column("cluster_id")[-1].as_py())
+    return points.withColumn(out, best["id"])
+
+
+def _nearest_of(points: DataFrame, block: pa.Table):
+    """A function from vectors to (squared distance, id) of the nearest centre of ``block``, whose ids ascend."""
+    matrix = to_matrix(block.column("centre"))
     at_once = max(1, MAX_CENTRE_VALUES // matrix.size)
-    shared = points.sparkSession.sparkContext.broadcast((ids[order], matrix))
+    shared = points.sparkSession.sparkContext.broadcast((block.column("cluster_id").to_numpy(), matrix))
 
-    @F.arrow_udf(T.LongType())
+    @F.arrow_udf(T.StructType([T.StructField("distance", T.DoubleType()), T.StructField("id", T.LongType())]))
     def nearest(column: pa.Array) -> pa.Array:
         names, middle = shared.value
-        x = to_matrix(column)
-        best = np.empty(len(x), dtype=np.int64)
+        there = column.is_valid().to_numpy(zero_copy_only=False)
+        place = np.flatnonzero(there)
+        x = to_matrix(column.drop_null()) if len(place) else np.zeros((0, middle.shape[1]))
+        near, ids = np.zeros(len(column)), np.zeros(len(column), np.int64)
         for start in range(0, len(x), at_once):
             rows = slice(start, start + at_once)
-            best[rows] = np.square(x[rows, None, :] - middle[None, :, :]).sum(axis=2).argmin(axis=1)
-        return pa.array(names[best].astype(np.int64), pa.int64())
+            gap = np.square(x[rows, None, :] - middle[None, :, :]).sum(axis=2)
+            near[place[rows]], ids[place[rows]] = gap.min(axis=1), names[gap.argmin(axis=1)]
+        return pa.StructArray.from_arrays([pa.array(near), pa.array(ids)], names=["distance", "id"], mask=pa.array(~there))
 
-    return points.withColumn(out, nearest(F.col(vector)))
+    return nearest
 
 
 def kmeans_sweep(

@@ -9,7 +9,7 @@ from skillweave.operators.skills import is_empty_skills
 
 
 def _with_state(df: DataFrame, cache: DataFrame, key: str) -> DataFrame:
-    known = cache.select(key, F.lit(True).alias("_cached"), is_empty_skills().alias("_empty"))
+    known = cache.groupBy(key).agg(F.lit(True).alias("_cached"), F.bool_and(is_empty_skills()).alias("_empty"))
     return df.join(known, key, "left").withColumns(
         {"_cached": F.coalesce("_cached", F.lit(False)), "_empty": F.coalesce("_empty", F.lit(False))}
     )

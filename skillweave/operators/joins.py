@@ -8,14 +8,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 << 20
 HOT_KEYS = 100
 SALTS = 32
 ROWS_PER_TRAINING_TASK = 20_000
 
 
-def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; no task sends more than that many."""
-    return df.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows
+def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows and, written as text, ``max_bytes`` bytes; no task sends more rows than that."""
+    head = df.select(F.octet_length(F.to_json(F.struct("*"))).alias("size")).limit(max_rows + 1)
+    found = head.agg(F.count("*").alias("n"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes")).first()
+    return found["n"] <= max_rows and found["bytes"] <= max_bytes
 
 
 def lookup_join(
@@ -53,14 +56,15 @@ def lookup_join(
 
 
 def for_iterations(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """``df`` on as few partitions as its rows need, for algorithms that run one job per step.
+    """``df`` on as many partitions as its rows need, for algorithms that run one job per step.
 
-    Small training data spread over all cores spends its time on starting tasks; data with
-    more rows than the cores' share stays as it is.
+    The number follows the rows alone, and a row's partition and place the hash of its values, so a seeded algorithm meets
+    the same layout on every cluster.
     """
     rows = df.count() if rows is None else rows
     needed = max(1, math.ceil(rows / ROWS_PER_TRAINING_TASK))
-    return df.repartition(needed) if needed < df.sparkSession.sparkContext.defaultParallelism else df
+    place = F.xxhash64(*df.columns)
+    return df.repartition(needed, place).sortWithinPartitions(place)
 
 
 def one_row(parts: list[DataFrame]) -> DataFrame:

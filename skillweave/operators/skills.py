@@ -126,14 +126,12 @@ def match_keywords(
     )
 
 
-def match_keyword_table(df: DataFrame, keywords: DataFrame, key: str = "ID", text: str = "clean_text", max_words: int = 4) -> DataFrame:
+def match_keyword_table(df: DataFrame, keywords: DataFrame, key: str = "ID", text: str = "clean_text") -> DataFrame:
     """The same for a keyword table (keyword, kind) of any size, by equi-join on the word n-grams.
 
-    Keywords of up to ``max_words`` words; a longer one is an error, not a silent miss.
+    The longest keyword of the table says how long the n-grams have to be.
     """
-    too_long = keywords.where(F.size(F.split("keyword", " ")) > max_words).limit(1).count()
-    if too_long:
-        raise ValueError(f"a keyword has more than {max_words} words")
+    max_words = keywords.agg(F.max(F.size(F.split("keyword", " ")))).first()[0] or 1
     words = F.filter(F.split(skill_normalise(text_or_empty(F.col(text))), " "), lambda w: w != "")
     grams = df.select(key, F.explode(F.array_distinct(gram_terms(words, 1, max_words))).alias("keyword"))
     table = keywords.select("keyword", "kind").distinct()

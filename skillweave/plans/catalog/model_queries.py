@@ -155,7 +155,7 @@ def nmi(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("kmeans_sweep")
 def sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clustering.kmeans_sweep(vectors(spark, sf_dir), 8, 10, n_init=3)[0]
+    return clustering.kmeans_sweep(vectors(spark, sf_dir))[0]
 
 
 @query("clustering_summary")
@@ -166,7 +166,7 @@ def summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     for pca in (None, 16):
         ready, kept = clustering.prepare_vectors(base, True, pca)
         ready = written(ready)
-        scores, models = clustering.kmeans_sweep(ready, 9, 10, n_init=2)
+        scores, models = clustering.kmeans_sweep(ready)
         assigned = clustering.kmeans_assign(models[clustering.select_k(scores).first()["k"]], ready)
         lines.append(clustering.clustering_summary(scores, assigned.select("ID", "Category", "cluster_id"), True, pca, kept))
     return clustering.ablation_table(lines)
@@ -261,9 +261,9 @@ def _predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of a document from its text and its vector."""
     documents = text_table(spark, sf_dir, "documents", "ID", ID="doc_id", Category="lang", raw_text="text")
     cleaned = written(clean_text(documents).select("ID", "Category", "clean_text"))
-    embedded = embed_text(cleaned.select("ID", "clean_text"), 64)
+    embedded = embed_text(cleaned.select("ID", "clean_text"))
     profiles = cleaned.join(embedded, "ID")
-    return written(classification.classify(profiles, trees=20, max_depth=10, max_iter=20, max_features=2000))
+    return written(classification.classify(profiles))
 
 
 @query("classify_compare")

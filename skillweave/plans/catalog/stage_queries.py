@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,8 +14,9 @@ from skillweave.plans.catalog.matching_queries import ranked_output, rounded_sum
 from skillweave.plans.catalog.model_queries import vectors
 from skillweave.plans.catalog.registry import joined, query, r6, table, text_table
 from skillweave.plans.catalog.skill_queries import _filled, _found, cache_table, lists
-from skillweave.plans.catalog.sql_parts import clean_ctes, collapse
+from skillweave.plans.catalog.sql_parts import clean_ctes, collapse, quality_values
 from skillweave.plans.stages import run_stage
+from skillweave.session import shared_root
 
 # One lemma table for both texts, so the corpus is both.
 BOTH_SQL = f"""
@@ -129,20 +132,48 @@ def stage_match_precision(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = vectors(spark, sf_dir)
     tables = {"clean_resumes": e.select("ID", F.col("label").cast("string").alias("Category")), "embeddings": e.select("ID", "embedding")}
-    return run_stage("cluster", tables, k_min=9, k_max=10, n_init=2)["cluster_assignments"]
+    return run_stage("cluster", tables)["cluster_assignments"]
 
 
 @query("kmeans_fit")
 def kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = vectors(spark, sf_dir)
-    assigned = clustering.kmeans_assign(clustering.kmeans_fit(points, 10, n_init=3), points)
+    assigned = clustering.kmeans_assign(clustering.kmeans_fit(points, 10), points)
     return quality.cluster_sizes(assigned, "cluster_id")
 
 
-@query("silhouette_sq")
+@query(
+    "silhouette_sq",
+    f"""
+WITH {quality_values()},
+sq AS (SELECT id, label, sum(x * x) AS q FROM v GROUP BY id, label),
+psi AS (SELECT label, avg(q) AS q FROM sq GROUP BY label),
+dot AS (SELECT v.id, v.label AS own, c.label AS other, sum(v.x * c.m) AS xy FROM v JOIN c ON c.pos = v.pos GROUP BY v.id, v.label, c.label),
+d AS (SELECT dot.id, own, other, sq.q - 2 * xy + psi.q AS d FROM dot JOIN sq ON sq.id = dot.id JOIN psi ON psi.label = other),
+ab AS (
+  SELECT d.id, any_value(s.n) AS n, sum(d) FILTER (WHERE own = other) * any_value(s.n) / (any_value(s.n) - 1) AS a, min(d) FILTER (WHERE own <> other) AS b
+  FROM d JOIN size s ON s.label = own GROUP BY d.id),
+score AS (SELECT avg(CASE WHEN n = 1 THEN 0 WHEN a < b THEN 1 - a / b WHEN a > b THEN b / a - 1 ELSE 0 END) AS s FROM ab)
+SELECT label, n::BIGINT AS size, round(s, 6) AS silhouette_sq FROM size, score""",
+)
 def silhouette_squared(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = vectors(spark, sf_dir)
-    return quality.cluster_sizes(points, "label").withColumn("silhouette_sq", F.lit(quality.silhouette_sq(points, "label")))
+    return quality.cluster_sizes(points, "label").withColumn("silhouette_sq", r6(F.lit(quality.silhouette_sq(points, "label"))))
+
+
+@query(
+    "week1",
+    f"""WITH {BOTH_SQL},
+resume AS (SELECT substr(id, 2) AS doc_id, clean_text AS text FROM clean WHERE id LIKE 'r%'),
+{DEFAULT_SKILLS_SQL.replace("FROM documents", "FROM resume")}
+SELECT id AS "ID", array_to_string(technical, '|') AS technical, array_to_string(soft, '|') AS soft FROM filled""",
+)
+def week1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw profiles to cleaned texts and skills, written to the shared folder and read back."""
+    resumes = text_table(spark, sf_dir, "documents", "ID", ID="doc_id", Category="source", Resume_str="text")
+    jobs = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("JobID"), F.col("text").alias("Responsibilities"))
+    results = run_stage("week1", {"resumes": resumes, "jobs": jobs}, save_to=f"{shared_root(spark).rstrip('/')}/week1-{uuid.uuid4().hex}")
+    return lists(results["skill_lists"], "ID")
 
 
 @query(

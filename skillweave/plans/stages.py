@@ -18,6 +18,7 @@ from skillweave.operators.incremental import cache_status, merge_cache, pending
 from skillweave.operators.schema import attach_embeddings, check_aligned, standardise_jobs, standardise_profiles, take_first
 from skillweave.operators.skills import extract_skills, parse_skill_response, skills_with_fallback
 from skillweave.session import cut_lineage, written
+from skillweave.sources.writers import read_table, write_summary, write_table
 
 Tables = dict[str, DataFrame | None]
 
@@ -48,6 +49,7 @@ def preprocess(
 def skills(
     tables: Tables,
     extractor: Callable | None = None,
+    sample_size: int | None = None,
     refill_empty: bool = False,
     skip_extraction: bool = False,
     dim: int = EMBEDDING_DIM,
@@ -70,6 +72,8 @@ def skills(
     if skip_extraction:
         return {**out, "skill_lists": cache}
     todo = pending(profiles.select("ID", "clean_text"), cache, refill_empty)
+    if sample_size:
+        todo = take_first(todo, sample_size, ["ID"])
     if tables.get("responses") is not None:
         answers = parse_skill_response(tables["responses"])
         found = skills_with_fallback(todo.join(answers, "ID", "left"))
@@ -192,17 +196,38 @@ STAGES: dict[str, Callable[..., dict[str, DataFrame]]] = {
     "classify": classify,
     "match": match,
 }
+SUMMARIES = {"cache_status", "recovered", "clustering_summary", "skill_item_matrix_meta", "matching_precision_at_k"}
 GROUPS: dict[str, tuple[str, ...]] = {
     "week1": ("preprocess", "skills"),
     "week2": ("cluster", "arm", "classify", "match"),
 }
 
 
-def run_stage(name: str, tables: Tables, **params: Any) -> dict[str, DataFrame]:
+def save_results(results: dict[str, DataFrame], folder: str, fmt: str = "parquet") -> dict[str, DataFrame]:
+    """Write the tables of a stage below ``folder``, a new version each, and return them as read back.
+
+    Summaries become JSON documents, the one of a clustering run also under its variant.
+    """
+    out = {}
+    for name, df in results.items():
+        path = f"{folder.rstrip('/')}/{name}"
+        if name in SUMMARIES:
+            kept = written(df, name)
+            write_summary(kept, path, kept.first()["variant"] if "variant" in df.columns else None)
+            out[name] = read_table(df.sparkSession, f"{path}/latest", "json")
+        else:
+            write_table(df, path, fmt)
+            out[name] = read_table(df.sparkSession, path, fmt)
+    return out
+
+
+def run_stage(name: str, tables: Tables, save_to: str | None = None, **params: Any) -> dict[str, DataFrame]:
     """Run one stage, or a group of stages that feed each other, and return its tables by name.
 
-    For a group, ``params`` maps stage names to their options.
+    For a group, ``params`` maps stage names to their options. With ``save_to`` the results are written there and read back.
     """
+    if save_to is not None:
+        return save_results(run_stage(name, tables, **params), save_to)
     if name in STAGES:
         return STAGES[name](tables, **params)
     if name not in GROUPS:

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skillweave.session import written
+
 _DONE = "_SUCCESS"
 
 
@@ -60,8 +62,8 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
 
 
 def write_summary(summary: DataFrame, path: str, variant: str | None = None) -> None:
-    """A summary document, a few rows in one JSON file, under its variant and as the latest one."""
-    summary = summary.coalesce(1)
+    """A summary document, a few rows in one JSON file, under its variant and as the latest one; computed once."""
+    summary = written(summary, "summary").coalesce(1)
     if variant:
         write_table(summary, f"{path.rstrip('/')}/variant={variant}", "json")
     write_table(summary, f"{path.rstrip('/')}/latest", "json")

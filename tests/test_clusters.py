@@ -112,6 +112,13 @@ def test_assign_nearest_takes_the_lower_id_on_ties(spark):
     assert rows(clustering.assign_nearest(points, centres), "ID", "cluster_id") == [(1, 3), (2, 5)]
 
 
+def test_assign_nearest_in_blocks_of_centres(spark, monkeypatch):
+    points = spark.createDataFrame([(i, [float(i)]) for i in range(8)] + [(9, None)], "ID int, embedding array<double>")
+    centres = spark.createDataFrame([(7 - i, [float(i)]) for i in range(8)], "cluster_id int, centre array<double>")
+    monkeypatch.setattr(clustering, "MAX_CENTRE_VALUES", 3)
+    assert rows(clustering.assign_nearest(points, centres), "ID", "cluster_id") == [(i, 7 - i) for i in range(8)] + [(9, None)]
+
+
 def test_kmeans_fit_keeps_the_best_restart(blobs):
     df = blobs[0].where("label < 7")
     assert clustering.kmeans_fit(df, 3, n_init=4).summary.trainingCost <= clustering.kmeans_fit(df, 3, n_init=1).summary.trainingCost

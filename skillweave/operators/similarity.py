@@ -5,8 +5,8 @@ a task. Few queries travel to the profiles, which then do not move. Many queries
 blocks that meet the shards of the profiles through one shuffle on hashed ids, and each task
 streams its shard past its block, so no group has to fit in memory.
 
-A score is the cosine rounded to six places. Rounding makes it independent of the order in which
-a block was summed, so ranks do not change with the partitioning; equal scores go by id.
+A score is the cosine rounded to six places; equal scores go by id. Sums in another order can only
+differ at a rounding border, and the floors of the sample pass are one step lower for that reason.
 """
 
 from __future__ import annotations
@@ -136,7 +136,7 @@ def topk_cosine(
         floors = written(reached.where(F.col("rank") == k).select(query_id, (F.col("score") - 1e-6).alias("_floor")), "floors")
     head = queries.limit(block_rows + 1).toArrow()
     if head.num_rows <= block_rows:
-        partial = _against_all(head, floors, items, k, query_id, [item_id, *carry], vector, tasks, out, schema)
+        partial = _against_all(head, floors, items, k, query_id, [item_id, *carry], vector, out, schema)
     else:
         partial = _block_against_shard(
             queries, floors, items, k, query_id, [item_id, *carry], vector, block_rows, tasks, out, schema
@@ -144,7 +144,7 @@ def topk_cosine(
     return top_within(partial, [query_id], [F.desc("score"), F.asc(item_id)], k)
 
 
-def _against_all(head, floors, items, k, query_id, columns, vector, tasks, out, schema) -> DataFrame:
+def _against_all(head, floors, items, k, query_id, columns, vector, out, schema) -> DataFrame:
     """All queries, known to be few, against every partition of the items; the items stay in place."""
     batch = head.filter(pc.is_valid(head.column(vector))).combine_chunks()
     ids = np.array(batch.column(query_id).to_pylist(), dtype=object)
@@ -160,8 +160,8 @@ def _against_all(head, floors, items, k, query_id, columns, vector, tasks, out,
                 best.add([_values(part, c) for c in columns], to_matrix(part.column(vector)))
         yield from best.batches(schema)
 
-    # Every task sends up to k rows per query to the merge, so their number follows the cluster, not the files.
-    return items.coalesce(tasks).mapInArrow(score, T.StructType(out))
+    # The scan keeps its splits, so a task reads what it would read anyway; the floors bound what it sends to the merge.
+    return items.mapInArrow(score, T.StructType(out))
 
 
 def _block_against_shard(queries, floors, items, k, query_id, columns, vector, block_rows, tasks, out, schema) -> DataFrame:

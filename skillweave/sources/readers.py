@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from skillweave.sources.writers import read_table, write_table
+
 SKILL_ENTRY = "map<string,struct<technical:array<string>,soft:array<string>>>"
 
 
@@ -53,18 +55,23 @@ def balanced(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def land(df: DataFrame, path: str, partitions: int | None = None) -> DataFrame:
-    """Write once as Parquet and go on from the splittable copy."""
-    (df if partitions is None else df.repartition(partitions)).write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    """Write once as a new version of a Parquet table and go on from the splittable copy."""
+    write_table(df if partitions is None else df.repartition(partitions), path)
+    return read_table(df.sparkSession, path)
 
 
 def read_embeddings(spark: SparkSession, path: str, key: str = "ID", vector: str = "embedding") -> DataFrame:
-    """(key, vector) from Parquet; only these two columns are read."""
-    return spark.read.parquet(path).select(key, vector)
+    """(key, vector) from a versioned table or plain Parquet; only these two columns are read."""
+    try:
+        table = read_table(spark, path)
+    except FileNotFoundError:
+        table = spark.read.parquet(path)
+    return table.select(key, vector)
 
 
 def write_embeddings(df: DataFrame, path: str, key: str = "ID", vector: str = "embedding") -> None:
-    df.select(key, F.col(vector).cast("array<float>").alias(vector)).write.mode("overwrite").parquet(path)
+    """A new version of the table: ``df`` may be read from the one it replaces."""
+    write_table(df.select(key, F.col(vector).cast("array<float>").alias(vector)), path)
 
 
 def read_skill_map(spark: SparkSession, path: str) -> DataFrame:

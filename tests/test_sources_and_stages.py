@@ -44,6 +44,15 @@ def test_embeddings_keep_their_key(spark, tmp_path):
     assert rows(read_embeddings(spark, str(tmp_path / "e"))) == [("x", [0.5, 1.5])]
 
 
+def test_embeddings_replace_the_table_they_come_from(spark, tmp_path):
+    path = str(tmp_path / "e")
+    write_embeddings(spark.createDataFrame([("x", [0.5])], "ID string, embedding array<double>"), path)
+    write_embeddings(read_embeddings(spark, path).unionByName(spark.createDataFrame([("y", [2.0])], "ID string, embedding array<float>")), path)
+    assert rows(read_embeddings(spark, path)) == [("x", [0.5]), ("y", [2.0])]
+    spark.createDataFrame([("z", [1.0])], "ID string, embedding array<float>").write.parquet(str(tmp_path / "plain"))
+    assert rows(read_embeddings(spark, str(tmp_path / "plain"))) == [("z", [1.0])]
+
+
 @pytest.fixture(scope="module")
 def raw(spark):
     topics = {"HR": "recruiting payroll interviews", "IT": "python java cloud servers", "CHEF": "cooking menus kitchens"}

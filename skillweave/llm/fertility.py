@@ -1,7 +1,8 @@
 """Quality rules from how public vocabularies split a text (operator 1).
 
 Text that a vocabulary was not made for falls into many short pieces, junk falls into bytes, and text that repeats itself has
-a low entropy of pieces. A text is rejected if a measure leaves the band of its script.
+a low entropy of pieces. A text is rejected if a measure leaves the band of its script, or falls below what texts of its language
+and length have under either of two vocabularies.
 """
 
 from __future__ import annotations
@@ -10,9 +11,10 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from skillweave.session import written
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -27,6 +29,11 @@ BANDS = {
     "cjk": (0.4, 3.0, 0.75, 3.0),
     "other": (0.3, 9.0, 0.90, 2.0),
 }
+# Fitted bands end so many standard deviations below the median; the deviation comes from the quartiles and is at least a share of the median.
+DEVIATIONS = 3.5
+LEAST_SPREAD = 0.01
+LEAST_TEXTS = 30  # different texts that a length class needs for a band of its own
+FITTED = ("chars_per_piece", "piece_entropy", "second_per_piece", "second_entropy")
 _SCRIPTS = {
     "latin": re.compile("[A-Za-zÀ-ɏ]"),
     "cyrillic": re.compile("[Ѐ-ԯ]"),
@@ -44,10 +51,18 @@ class Pieces(dict):
 
     def __init__(self, path: str, bound: int = 400_000):
         super().__init__()
-        import sentencepiece
-
-        self.model = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.bytes = np.array([self.model.is_byte(i) for i in range(self.model.get_piece_size())])
+        if path.endswith(".json"):
+            from tokenizers import Tokenizer
+
+            model = Tokenizer.from_file(path)
+            self.encode = lambda words: [e.ids for e in model.encode_batch_fast([f" {w}" for w in words], add_special_tokens=False)]
+            self.bytes = np.zeros(model.get_vocab_size(), bool)
+        else:
+            import sentencepiece
+
+            model = sentencepiece.SentencePieceProcessor(model_file=path)
+            self.encode = lambda words: model.encode(words, num_threads=1)
+            self.bytes = np.array([model.is_byte(i) for i in range(model.get_piece_size())])
         self.bound = bound
         self.forget()
 
@@ -63,7 +78,7 @@ class Pieces(dict):
             self.forget()
             new = list(words)
         text = [w.decode() for w in new]
-        found = self.model.encode(text, num_threads=1) if text else []
+        found = self.encode(text) if text else []
         self.update(zip(new, range(len(self), len(self) + len(new))))
         self.ids = np.concatenate([self.ids, *(np.array(f, np.int32) for f in found)])
         self.start = np.r_[self.start, self.start[-1] + np.cumsum([len(f) for f in found], dtype=np.int64)]
@@ -154,3 +169,67 @@ def fertility(docs: DataFrame, model_path: str, bands: dict[str, tuple[float, fl
     names = [part.split()[0] for part in SCHEMA.split(", ")]
     kinds = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.string(), pa.int64()] + [pa.float64()] * 3
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, SCHEMA)
+
+
+def length_class(n_words: int) -> int:
+    """Two classes for every doubling of the words."""
+    return int(2 * np.log2(max(n_words, 1)))
+
+
+def _measured(docs: DataFrame, model_path: str, second_path: str, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+    """The columns of ``SCHEMA`` under the bands per script, the language, the class of length, and the measures under the second vocabulary."""
+
+    def run(batches):
+        pieces, second = Pieces(model_path), Pieces(second_path)
+        parts = (batch.slice(at, 500) for batch in batches for at in range(0, batch.num_rows, 500))
+        for part in parts:
+            texts = part.column(1).to_pylist()
+            words = [(t or "").encode().split() for t in texts]
+            new = set().union(*words)
+            pieces.learn(new)
+            second.learn(new)
+            rows = []
+            for t, w in zip(texts, words, strict=True):
+                numbers = np.fromiter(map(second.__getitem__, w), np.int64, len(w))
+                ids = second.of(numbers)
+                more = (length_class(len(w)), int(second.chars[numbers].sum()) / len(ids) if len(ids) else 0.0, entropy(ids))
+                rows.append(measure(t or "", w, pieces, BANDS) + more)
+            columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays([part.column(0), *columns, part.column(2)], names=names)
+
+    schema = f"{SCHEMA}, length int, second_per_piece double, second_entropy double, lang string"
+    names = [part.split()[0] for part in schema.split(", ")]
+    kinds = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.string(), pa.int64()] + [pa.float64()] * 3 + [pa.int32()] + [pa.float64()] * 2
+    given = F.coalesce(F.col(lang_col).cast("string"), F.lit("")) if lang_col in docs.columns else F.lit("")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), given.alias("lang")).mapInArrow(run, schema)
+
+
+def fit_bands(measured: DataFrame) -> DataFrame:
+    """``script, lang, length, least``: the least values of ``FITTED`` among texts that the base rules and the bands per script keep.
+
+    Copies count once. Values are counted in cells of 0.001, so quartiles are exact on these and do not depend on the partitioning. A length class
+    with few texts takes the band of the next shorter class that has one, which is lower; without one its texts have no fitted band.
+    """
+    texts = measured.where("kept").select("script", "lang", "length", "n_words", "word_chars", "n_pieces", *FITTED).distinct()
+    cells = F.array(*[F.struct(F.lit(i).alias("measure"), F.round(F.col(m), 3).alias("cell")) for i, m in enumerate(FITTED)])
+    counted = texts.select("script", "lang", "length", F.explode(cells).alias("c")).groupBy("script", "lang", "length", "c.measure", "c.cell").agg(F.count("*").alias("n"))
+    quartiles = counted.groupBy("script", "lang", "length", "measure").agg(F.expr("percentile(cell, array(0.25, 0.5, 0.75), n)").alias("q"), F.sum("n").alias("n"))
+    spread = F.greatest((F.get("q", 2) - F.get("q", 0)) / 1.349, F.get("q", 1) * LEAST_SPREAD)
+    own = quartiles.groupBy("script", "lang", "length").agg(F.min("n").alias("n"), F.array_sort(F.collect_list(F.struct("measure", (F.get("q", 1) - DEVIATIONS * spread).alias("low")))).alias("bands"))
+    bands = own.withColumn("own", F.when(F.col("n") >= LEAST_TEXTS, F.col("bands.low")))
+    shorter = Window.partitionBy("script", "lang").orderBy("length").rowsBetween(Window.unboundedPreceding, 0)
+    return bands.select("script", "lang", "length", F.last("own", ignorenulls=True).over(shorter).alias("least")).where("least IS NOT NULL")
+
+
+def fitted_fertility(docs: DataFrame, model_path: str, second_path: str, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """As ``fertility``, and a text is also rejected if it falls below a band fitted to all texts of its script, language and length.
+
+    A null language is one of its own; without the column bands are fitted per script. The bands are a row per script, language and
+    length class.
+    """
+    measured = written(_measured(docs, model_path, second_path, id_col, text_col, lang_col), "fertility")
+    met = measured.join(F.broadcast(fit_bands(measured)), ["script", "lang", "length"], "left")
+    below = F.lit(False)
+    for i, name in enumerate(FITTED):
+        below = below | F.coalesce(F.col(name) < F.get("least", i), F.lit(False))
+    return met.withColumn("kept", F.col("kept") & ~below).select(*[part.split()[0] for part in SCHEMA.split(", ")])

@@ -11,7 +11,7 @@ from skillweave.llm.common import table
 
 
 def op1_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fertility.fertility(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return fertility.fitted_fertility(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 def op2_deobfuscation(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from skillweave.llm import deobfuscate, fertility
+from skillweave.llm import deobfuscate, fertility, queries
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -70,6 +70,24 @@ def test_bands_reject(spark):
     assert not rows[2].base_failed and not rows[2].kept
 
 
+def test_fitted_bands_reject_junk_and_keep_prose(spark):
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    met = queries.op1_fertility(spark, sf).where("NOT base_failed").join(labels, "doc_id").groupBy("quality", "kept").count().collect()
+    n = {(r.quality, r.kept): r["count"] for r in met}
+    print(n)
+    assert n[0, False] >= 0.8 * (n[0, False] + n.get((0, True), 0))
+    assert n.get((1, False), 0) <= 0.01 * n[1, True]
+
+
+def test_fitted_bands_of_odd_rows(spark, library):
+    docs = spark.createDataFrame([(*r, 1, True) for r in ODD], "doc_id long, text string, n_words int, kept boolean")
+    rows = fertility.fitted_fertility(docs, PATH, public_tokenizers.path("word_bpe_49k.json")).collect()
+    check(rows, ODD, library)
+    assert sum(r.kept for r in rows) == sum(r.kept for r in fertility.fertility(docs, PATH).collect())
+    assert fertility.fitted_fertility(docs.where("doc_id > 99"), PATH, public_tokenizers.path("word_bpe_49k.json")).count() == 0
+
+
 def test_a_small_cache_gives_the_same(library):
     texts = [" ".join(f"w{i * j % 97}" for j in range(70)) for i in range(30)]
     small, large = fertility.Pieces(PATH, bound=50), fertility.Pieces(PATH)

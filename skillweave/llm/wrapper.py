@@ -2,7 +2,7 @@
 
 A page becomes a tree of block elements in which neighbours of equal shape fall together; this shape is its skeleton. The skeletons of a
 host are aligned by simple tree matching with the host's most frequent one. Texts of aligned nodes are counted over all pages of the host: a
-node whose text is the same everywhere is template, the others are slots. The wrapper of a skeleton says which of its nodes carry
+node whose text is the same on two different pages or more, and everywhere, is template, the others are slots. The wrapper of a skeleton says which of its nodes carry
 content: the slots and the prose of the article, or of the region with most varying text where a page marks none, without the parts whose
 element or name says that they are something else. Pages are read twice, so that only text which may be content is shuffled once.
 """
@@ -28,6 +28,7 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 SCOPES = {"table", "ul", "ol", "dl", "select", "article", "section", "main", "body", "html"}
 KEEPS_P = {"option", "optgroup", "td", "th", "tr", "tbody", "thead", "tfoot", "body", "html", "head"}
 DROPPED = set("head nav footer aside form button select label fieldset dialog menu svg canvas object audio video script style textarea title noscript template iframe".split())
+UNSEEN = set("head svg canvas object audio video script style textarea title noscript template iframe".split())
 PROSE = set("p h1 h2 h3 h4 h5 h6 li blockquote pre td th dd dt figcaption".split())
 NAMES = re.compile(
     r"(?:^|[^a-z])(?:ads?|advert\w*|banner|promo\w*|sponsor\w*|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|newsletter|subscri\w+|signup|login|comments?|disqus|replies|respond"
@@ -283,15 +284,22 @@ def host_of(url: str | None) -> str:
     return found[1].lower() if found else ""
 
 
+def identity(texts: list[tuple[int, str]], gone: list[bool], labels: list[str]) -> int:
+    """Hash of what a page says outside dropped parts (or at all, if they hold everything); copies share it, whatever their scripts are."""
+    shown = [t for i, t in texts if not gone[i]] or [t for i, t in texts if labels[i].partition(" ")[0] not in UNSEEN]
+    return xxhash.xxh64_intdigest("\n".join(shown)) >> 1
+
+
 _VIEW = "array<struct<node:int,hash:long,chars:long>>"
 _BLOCKS = "array<struct<node:int,text:string>>"
 
 
 def _slots(pages: DataFrame) -> DataFrame:
-    """``host, skeleton, slots``: per page the hash and the length of each node's text."""
+    """``host, skeleton, page, slots``: per page its identity, the hash and the length of each node's text."""
 
     def run(batch: pa.RecordBatch) -> dict:
-        out: dict[str, list] = {"host": [], "skeleton": [], "slots": []}
+        out: dict[str, list] = {"host": [], "skeleton": [], "page": [], "slots": []}
+        shapes: dict[str, tuple[list[bool], list[str]]] = {}
         for url, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             page = Page(source or "")
             skeleton, node = page.folded()
@@ -300,10 +308,14 @@ def _slots(pages: DataFrame) -> DataFrame:
                 texts.setdefault(node[i], []).append(text)
             out["host"].append(host_of(url))
             out["skeleton"].append(skeleton)
+            if skeleton not in shapes:
+                labels, parents, _ = tree(skeleton)
+                shapes[skeleton] = dropped(labels, parents), labels
+            out["page"].append(identity([(node[i], t) for i, t in page.blocks], *shapes[skeleton]))
             out["slots"].append([{"node": k, "hash": xxhash.xxh64_intdigest("\n".join(t)) >> 1, "chars": sum(map(len, t))} for k, t in texts.items()])
         return out
 
-    return map_batches(pages.select("url", "html"), run, f"host string, skeleton string, slots {_VIEW}")
+    return map_batches(pages.select("url", "html"), run, f"host string, skeleton string, page long, slots {_VIEW}")
 
 
 def induce(pages: DataFrame) -> DataFrame:
@@ -323,12 +335,12 @@ def induce(pages: DataFrame) -> DataFrame:
         return {"host": batch.column(0), "skeleton": batch.column(1), "aligned": out}
 
     aligned = written(map_batches(pairs, align, "host string, skeleton string, aligned array<int>"), "alignments")
-    # A node without a partner is compared among the pages of its own skeleton.
-    counted = seen.select("host", "skeleton", F.explode("slots").alias("s")).groupBy("host", "skeleton", "s.node").agg(F.count("*").alias("n"), F.min("s.hash").alias("low"), F.max("s.hash").alias("high"), F.sum("s.chars").alias("chars"))
+    # Copies of a page are no evidence of a template: a node must be on two different pages. A node without a partner is compared among the pages of its own skeleton.
+    counted = seen.select("host", "skeleton", "page", F.explode("slots").alias("s")).groupBy("host", "skeleton", "s.node").agg(F.min("page").alias("first"), F.max("page").alias("last"), F.min("s.hash").alias("low"), F.max("s.hash").alias("high"), F.sum("s.chars").alias("chars"))
     met = counted.join(aligned, ["host", "skeleton"]).withColumn("partner", F.get("aligned", F.col("node"))).drop("aligned")
     met = written(met.withColumn("own", F.when(F.col("partner") < 0, F.col("skeleton"))), "slots")
     slots = met.groupBy("host", "own", "partner", F.when(F.col("partner") < 0, F.col("node")).alias("lone")).agg(
-        ((F.sum("n") > 1) & (F.min("low") == F.max("high"))).alias("constant"), F.sum("chars").alias("all_chars")
+        ((F.min("first") < F.max("last")) & (F.min("low") == F.max("high"))).alias("constant"), F.sum("chars").alias("all_chars")
     )
     keys = slots.select(F.col("host").alias("h"), F.col("own").alias("o"), F.col("partner").alias("p"), F.col("lone").alias("l"), "constant", "all_chars")
     lone = F.when(F.col("partner") < 0, F.col("node"))

@@ -100,3 +100,18 @@ def test_tree_matching_equals_all_assignments():
         assert len(pairs) == _best(one, other)
         assert [j for _, j in pairs] == sorted({j for _, j in pairs})
         assert all(la[i] == lb[j] and (i == 0 or found[pa[i]] == pb[j]) for i, j in pairs)
+
+
+def _texts(spark, pages):
+    rows = [(i, url, html) for i, (url, html) in enumerate(pages)]
+    return [r.text for r in sorted(wrapper.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect(), key=lambda r: r.page_id)]
+
+
+def test_copies_are_no_evidence_of_a_template(spark):
+    plain = "<script>{}</script><nav>menu</nav><div><p>only story</p></div>"
+    marked = "<article><div>bare text</div><p>prose</p></article>"
+    lone = "<section><p>lone</p></section>"
+    two = ["<div><p>same</p><p class=x>one</p></div>", "<div><p>same</p><p class=x>two</p></div>"]
+    pages = [("http://a.example/", plain.format(i)) for i in range(3)] + [("http://b.example/", marked)] * 3
+    pages += [("http://c.example/", h) for h in [*two, *two, lone, lone]]
+    assert _texts(spark, pages) == ["only story"] * 3 + ["bare text\nprose"] * 3 + ["one", "two", "one", "two", "lone", "lone"]

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skillweave.llm.common import join_groups, map_batches, packed, salted
+from skillweave.llm.digest_index import text_digest
 from skillweave.llm.graph import components
 from skillweave.session import written
 
@@ -94,9 +95,21 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id is the least of its component; of repeated rows one stays."""
-    kept = simhash_components(docs).where("doc_id <=> component_id").select("doc_id").distinct()
-    rows = packed(docs, doc_id=F.col("doc_id").cast("long"))
-    met = rows.join(kept, rows["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
-    one = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.lit(1)))
+    """One row of ``docs`` per component: that of the least id, null ids last, and of the least text digest among rows that share it.
+
+    Rows meet the verdicts by (id, digest); of rows that repeat both one stays.
+    """
+
+    def run(batch: pa.RecordBatch) -> dict:
+        return {"doc_id": batch.column(0), "digest": batch.column(1), "fp": np.array([fingerprint(t) for t in batch.column(2).to_pylist()], np.uint64)}
+
+    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_digest("text").alias("digest"), F.col("text").cast("string").alias("text"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest")).alias("first")
+    fps = written(map_batches(given, run, "doc_id long, digest binary, fp long").groupBy("fp").agg(first), "distinct-fingerprints")
+    roots = components(links(fps.select("fp"))).withColumnRenamed("node", "fp")
+    chosen = fps.join(roots, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first"))
+    kept = chosen.select("first.doc_id", "first.digest")
+    rows = packed(docs, doc_id=F.col("doc_id").cast("long"), digest=text_digest("text"))
+    met = rows.join(kept, rows["doc_id"].eqNullSafe(kept["doc_id"]) & (rows["digest"] == kept["digest"]), "left_semi")
+    one = F.row_number().over(Window.partitionBy("doc_id", "digest").orderBy(F.lit(1)))
     return met.withColumn("nth", one).where("nth = 1").select("row.*")

@@ -232,3 +232,12 @@ def test_ids_of_words_equal_the_tokenizer():
     words = packing.WordIds(path)
     for text in ["", " ", "The the, THE. don't it's I'm! x1 ²a naïve Straße İstanbul ΣΑΣ éa. a.. b!? 'tis", "Éa éa! <|endoftext|> 日本, l'été a b c", "ſt ŉa Ǆ ß ÿ."]:
         assert words.of(text).tolist() == words.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_one_row_of_each_component_stays(spark):
+    words = lambda k: " ".join(f"{k}{i * 7 % 31}" for i in range(80))
+    rows = [(None, words("a")), (None, words("b")), (None, words("b")), (1, words("c")), (1, words("d")), (2, words("c").upper()), (None, words("d")), (3, words("e")), (3, words("e"))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [tuple(r) for r in simhash.keep_one_of_each(docs).collect()]
+    expect = [(None, words("a")), (None, words("b")), (1, words("c")), (1, words("d")), (3, words("e"))]
+    assert sorted(got, key=repr) == sorted(expect, key=repr)

@@ -3,8 +3,8 @@
 A page becomes a tree of block elements in which neighbours of equal shape fall together; this shape is its skeleton. The skeletons of a
 host are aligned by simple tree matching with the host's most frequent one. Texts of aligned nodes are counted over all pages of the host: a
 node whose text is the same on two different pages or more, and everywhere, is template, the others are slots. The wrapper of a skeleton says which of its nodes carry
-content: the slots and the prose of the article, or of the region with most varying text where a page marks none, without the parts whose
-element or name says that they are something else. Pages are read twice, so that only text which may be content is shuffled once.
+content: the slots and the prose of the article, or all slots where a page marks none, without the parts whose element or name says that
+they are something else; unless such a part wraps the article or most of what varies. Pages are read twice, so that only text which may be content is shuffled once.
 """
 
 from __future__ import annotations
@@ -34,6 +34,9 @@ NAMES = re.compile(
     r"(?:^|[^a-z])(?:ads?|advert\w*|banner|promo\w*|sponsor\w*|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|newsletter|subscri\w+|signup|login|comments?|disqus|replies|respond"
     r"|sidebar|widgets?|related|recommend\w*|share|sharing|social|breadcrumbs?|menu|navbar|nav|navigation|footer|toolbar|pagination|pager|skip|masthead|site-?header|page-?header|hidden)(?:$|[^a-z])"
 )
+# Names of a layout, not of the part itself; and names of what readers wrote.
+MODIFIERS = re.compile(r"(?:^|(?<=[^a-z]))(?:with|without|has|no|is|overflow)[-_][a-z]+")
+REPLIES = re.compile(r"(?:^|[^a-z])(?:comments?|disqus|replies|respond)(?:$|[^a-z])")
 REGION_NAMES = re.compile(r"(?:^|[^a-z])(?:article|post|entry|story|content|main)(?:$|[^a-z])")
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.S)
 _NAME = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -224,15 +227,61 @@ def match_trees(one: str, other: str) -> list[int]:
     return found
 
 
-def dropped(labels: list[str], parents: list[int]) -> list[bool]:
-    """Whether a node, or one above it, is no part of an article by its element or name."""
+def dropped(labels: list[str], parents: list[int], spared: set[int] = frozenset()) -> list[bool]:
+    """Whether a node, or one above it, is no part of an article by its element or name; ``spared`` ones are not so by themselves."""
     out: list[bool] = []
-    for label, parent in zip(labels, parents, strict=True):
+    for i, (label, parent) in enumerate(zip(labels, parents, strict=True)):
         name, _, names = label.partition(" ")
         above = parent >= 0 and out[parent]
         inside = _inside(labels, parents, parent, {"article", "main"})
-        by_name = name not in ("article", "main", "body", "html", "#root") and bool(NAMES.search(names))
-        out.append(above or name in DROPPED or (name == "header" and not inside) or by_name)
+        by_name = name not in ("article", "main", "body", "html", "#root") and bool(NAMES.search(MODIFIERS.sub("", names)))
+        own = name in DROPPED or (name == "header" and not inside) or by_name
+        out.append(above or (own and i not in spared))
+    return out
+
+
+def never(labels: list[str], parents: list[int]) -> list[bool]:
+    """Whether a node is in an element that a page does not show as text."""
+    out: list[bool] = []
+    for label, parent in zip(labels, parents, strict=True):
+        out.append(label.partition(" ")[0] in UNSEEN or parent >= 0 and out[parent])
+    return out
+
+
+def wrappers_of_content(labels: list[str], parents: list[int], constant: set[int], chars: dict[int, int]) -> set[int]:
+    """Nodes that ``dropped`` must spare, as the page has its article only inside them, or most of its varying text.
+
+    A part that names replies, and elements other than a form, count as wrappers of text only if nothing that varies is left outside.
+    """
+    gone = dropped(labels, parents)
+    unseen = never(labels, parents)
+    marks = [i for i, label in enumerate(labels) if label.partition(" ")[0] in ("article", "main") and not unseen[i]]
+    held = [i for i in marks if any(_below(parents, j, {i}) for j in chars)]
+    if any(not gone[i] for i in held):
+        return set()
+    if held:
+        return {i for i in _lineage(parents, held) if not unseen[i]}
+    mass = [0] * len(labels)
+    for i, n in chars.items():
+        mass[i] += n * (i not in constant and not unseen[i])
+    left = sum(n for n, g in zip(mass, gone, strict=True) if not g)
+    for i in range(len(labels) - 1, 0, -1):
+        mass[parents[i]] += mass[i]
+    spared = set()
+    for i, label in enumerate(labels):
+        name, _, names = label.partition(" ")
+        weak = name not in DROPPED - {"form", "fieldset"} and name != "header" and not REPLIES.search(names)
+        if not unseen[i] and 2 * mass[i] > mass[0] and (weak or not left):
+            spared.add(i)
+    return spared
+
+
+def _lineage(parents: list[int], nodes: list[int]) -> set[int]:
+    out: set[int] = set()
+    for node in nodes:
+        while node >= 0 and node not in out:
+            out.add(node)
+            node = parents[node]
     return out
 
 
@@ -247,7 +296,7 @@ def _inside(labels: list[str], parents: list[int], node: int, names: set[str]) -
 def content_nodes(skeleton: str, constant: set[int], chars: dict[int, int]) -> list[bool]:
     """Which nodes of a skeleton carry content. ``constant``: template nodes; ``chars``: text of the nodes over all pages."""
     labels, parents, _ = tree(skeleton)
-    gone = dropped(labels, parents)
+    gone = dropped(labels, parents, wrappers_of_content(labels, parents, constant, chars))
     names = [label.partition(" ") for label in labels]
     tests = (lambda t, n: t == "article", lambda t, n: t == "main" or "main" in n.split(), lambda t, n: bool(REGION_NAMES.search(n)))
     roots: set[int] = set()
@@ -258,12 +307,7 @@ def content_nodes(skeleton: str, constant: set[int], chars: dict[int, int]) -> l
         roots = set()
     marked = bool(roots)
     if not marked:
-        mass: dict[int, int] = {}
-        for i, n in chars.items():
-            if not gone[i] and i not in constant:
-                region = parents[i] if names[i][0] in PROSE and parents[i] >= 0 else i
-                mass[region] = mass.get(region, 0) + n
-        roots = {max(mass, key=lambda i: (mass[i], -i))} if mass else {0}
+        roots = {0}
     keep = []
     for i in range(len(labels)):
         template = i in constant and not (marked and names[i][0] in PROSE)
@@ -284,10 +328,13 @@ def host_of(url: str | None) -> str:
     return found[1].lower() if found else ""
 
 
-def identity(texts: list[tuple[int, str]], gone: list[bool], labels: list[str]) -> int:
-    """Hash of what a page says outside dropped parts (or at all, if they hold everything); copies share it, whatever their scripts are."""
-    shown = [t for i, t in texts if not gone[i]] or [t for i, t in texts if labels[i].partition(" ")[0] not in UNSEEN]
-    return xxhash.xxh64_intdigest("\n".join(shown)) >> 1
+def identity(texts: list[tuple[int, str]], gone: list[bool], unseen: list[bool]) -> int:
+    """Hash of what a page says outside dropped parts, or of all it shows if these hold most; copies share it, whatever their scripts are."""
+    shown = [(i, t) for i, t in texts if not unseen[i]]
+    left = [t for i, t in shown if not gone[i]]
+    if 2 * sum(map(len, left)) < sum(len(t) for _, t in shown):
+        left = [t for _, t in shown]
+    return xxhash.xxh64_intdigest("\n".join(left)) >> 1
 
 
 _VIEW = "array<struct<node:int,hash:long,chars:long>>"
@@ -299,7 +346,7 @@ def _slots(pages: DataFrame) -> DataFrame:
 
     def run(batch: pa.RecordBatch) -> dict:
         out: dict[str, list] = {"host": [], "skeleton": [], "page": [], "slots": []}
-        shapes: dict[str, tuple[list[bool], list[str]]] = {}
+        shapes: dict[str, tuple[list[bool], list[bool]]] = {}
         for url, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             page = Page(source or "")
             skeleton, node = page.folded()
@@ -310,7 +357,7 @@ def _slots(pages: DataFrame) -> DataFrame:
             out["skeleton"].append(skeleton)
             if skeleton not in shapes:
                 labels, parents, _ = tree(skeleton)
-                shapes[skeleton] = dropped(labels, parents), labels
+                shapes[skeleton] = dropped(labels, parents), never(labels, parents)
             out["page"].append(identity([(node[i], t) for i, t in page.blocks], *shapes[skeleton]))
             out["slots"].append([{"node": k, "hash": xxhash.xxh64_intdigest("\n".join(t)) >> 1, "chars": sum(map(len, t))} for k, t in texts.items()])
         return out
@@ -375,7 +422,7 @@ def extract(pages: DataFrame) -> DataFrame:
             page = Page(source or "")
             skeleton, node = page.folded()
             if skeleton not in gone:
-                gone[skeleton] = dropped(*tree(skeleton)[:2])
+                gone[skeleton] = never(*tree(skeleton)[:2])
             out["shape_of"].append(f"{host_of(url)}\n{skeleton}")
             out["blocks"].append([{"node": node[i], "text": t} for i, t in page.blocks if not gone[skeleton][node[i]]])
         return out | {"page_id": batch.column(0), "url": batch.column(1)}

@@ -115,3 +115,19 @@ def test_copies_are_no_evidence_of_a_template(spark):
     pages = [("http://a.example/", plain.format(i)) for i in range(3)] + [("http://b.example/", marked)] * 3
     pages += [("http://c.example/", h) for h in [*two, *two, lone, lone]]
     assert _texts(spark, pages) == ["only story"] * 3 + ["bare text\nprose"] * 3 + ["one", "two", "one", "two", "lone", "lone"]
+
+
+def test_all_varying_parts_and_wrapped_articles_stay(spark):
+    head = "<html><head><title>t{0}</title></head><body><h2>same everywhere</h2>"
+    forms = [
+        (head + "<div><h1>h {0}</h1></div><div id=a><p>a {0}</p></div><div id=b><p>longer b {0}</p></div>", "h {0}\na {0}\nlonger b {0}"),
+        (head + "<p>one {0}</p><ul><li>a long item {0}<li>another long item {0}</ul><p>two {0}</p>", "one {0}\na long item {0}\nanother long item {0}\ntwo {0}"),
+        (head + "<form><div><p>page-wide text {0}</p></div><nav>menu {0}</nav></form>", "page-wide text {0}"),
+        (head + "<div class=overlay><p>a text of the page {0}</p></div><footer>f {0}</footer>", "a text of the page {0}"),
+        (head + "<div id=x><p>text {0}</p></div><div class=comments><p>a comment that is longer than all {0}</p></div>", "text {0}"),
+        (head + "<article><p>real {0}</p></article><div class=related><article><p>a longer teaser {0}</p></article></div>", "real {0}"),
+    ]
+    wraps = ["div class='with-sidebar'", "div class=has-sidebar", "div class=no-sidebar", "div class=overflow-hidden", "div class=overlay", "form"]
+    forms += [(head + f"<{w}><article><p>story {{0}}</p></article></{w.split()[0]}><nav>n {{0}}</nav>", "story {0}") for w in wraps]
+    pages = [(f"http://h{k}.example/{n}", form.format(n)) for k, (form, _) in enumerate(forms) for n in ("red", "blue")]
+    assert _texts(spark, pages) == [text.format(n) for _, text in forms for n in ("red", "blue")]

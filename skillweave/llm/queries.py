@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skillweave.llm import chat, deobfuscate, debruijn, digest_index, fertility, packing, piece_lattice, repair, simhash, warc, wrapper
+from skillweave.llm import bestfit, chat, deobfuscate, debruijn, digest_index, fertility, packing, piece_lattice, repair, simhash, warc, wrapper
 from skillweave.llm.common import table
 
 
@@ -62,7 +62,11 @@ def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repair(table(spark, sf_dir, "conversations"))
 
 
-QUERIES = {f.__name__: f for f in (op1_fertility, op2_deobfuscation, op3_exact_dedup, op4_substring_dedup, op5_warc, op6_packing, op7_simhash, op8_wrapper, op9_chat, op10_piece_lattice, op11_repair)}
+def op12_bestfit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bestfit.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")).drop("doc_tokens")
+
+
+QUERIES = {f.__name__: f for f in (op1_fertility, op2_deobfuscation, op3_exact_dedup, op4_substring_dedup, op5_warc, op6_packing, op7_simhash, op8_wrapper, op9_chat, op10_piece_lattice, op11_repair, op12_bestfit)}
 
 ORACLES = {
     "op3_exact_dedup": r"""

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skillweave.llm import bestfit, chat, deobfuscate, debruijn, digest_index, fertility, packing, piece_lattice, repair, simhash, warc, wrapper
+from skillweave.llm import bestfit, chat, collocations, deobfuscate, debruijn, digest_index, fertility, packing, piece_lattice, repair, simhash, warc, wrapper
 from skillweave.llm.common import table
 
 
@@ -66,9 +66,31 @@ def op12_bestfit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bestfit.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")).drop("doc_tokens")
 
 
-QUERIES = {f.__name__: f for f in (op1_fertility, op2_deobfuscation, op3_exact_dedup, op4_substring_dedup, op5_warc, op6_packing, op7_simhash, op8_wrapper, op9_chat, op10_piece_lattice, op11_repair, op12_bestfit)}
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_fertility, op2_deobfuscation, op3_exact_dedup, op4_substring_dedup, op5_warc, op6_packing, op7_simhash, op8_wrapper, op9_chat, op10_piece_lattice, op11_repair, op12_bestfit, op13_collocations)}
 
 ORACLES = {
+    "op13_collocations": r"""
+        WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+        p AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+        w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p),
+        s AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w WHERE len(ws) > 0),
+        g AS (SELECT lang, ws[i:i + m - 1] AS g, count(*) AS f FROM s, (VALUES (1), (2), (3), (4), (5)) v(m) WHERE i + m - 1 <= len(ws) GROUP BY ALL),
+        tot AS (SELECT lang, sum(f) AS n FROM g WHERE len(g) = 1 GROUP BY lang),
+        fr AS (SELECT * FROM g WHERE f >= 100),
+        c AS (SELECT lang, g, f AS a, ' ' || array_to_string(g, ' ') || ' ' AS padded FROM fr WHERE len(g) >= 2),
+        kept AS (SELECT * FROM c WHERE NOT EXISTS (SELECT 1 FROM c AS o WHERE o.lang = c.lang AND len(o.g) > len(c.g) AND contains(o.padded, c.padded) AND 100 * o.a >= 100 * c.a)),
+        cuts AS (SELECT kept.lang, kept.g, kept.a, k FROM kept, (VALUES (1), (2), (3), (4)) v(k) WHERE k < len(kept.g)),
+        sc AS (SELECT cuts.lang, cuts.g, cuts.a, k, l.f AS l, r.f AS r, tot.n,
+                      (1000::HUGEINT * cuts.a * tot.n) // (l.f::HUGEINT * r.f) AS score
+               FROM cuts JOIN fr AS l ON l.lang = cuts.lang AND l.g = cuts.g[1:k] JOIN fr AS r ON r.lang = cuts.lang AND r.g = cuts.g[k + 1:] JOIN tot ON tot.lang = cuts.lang),
+        b AS (SELECT *, row_number() OVER (PARTITION BY lang, g ORDER BY score, k) AS pick FROM sc),
+        ranked AS (SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, n, score,
+                          row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(g, ' ')) AS rank FROM b WHERE pick = 1)
+        SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score FROM ranked WHERE rank <= 2000""",
     "op3_exact_dedup": r"""
         WITH t AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents),
         g AS (SELECT text_sha256, min(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY text_sha256)

@@ -14,6 +14,7 @@ holds only (document, piece, length, checksum) of its group, never the token ids
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -95,16 +96,88 @@ def best_fit(lengths: list[int], capacity: int = CAPACITY) -> tuple[list[tuple[i
     return placed, made
 
 
+class Pieces(dict):
+    """Ids of text pieces that start at a safe cut (see ``Encoder``); a missing piece is cut into pre-tokens by the pattern."""
+
+    def __init__(self, coder: Encoder):
+        super().__init__()
+        self.coder = coder
+
+    def __missing__(self, piece: str) -> bytes:
+        coder = self.coder
+        if len(self) >= coder.bound:
+            kept = list(self.items())[coder.bound // 2 :]  # the older half is forgotten
+            self.clear()
+            self.update(kept)
+        self[piece] = found = b"".join(map(coder.word, coder.pattern.findall(piece)))
+        return found
+
+
 class Encoder:
-    def __init__(self, path: str):
+    """Ids of the byte-level tokenizer with a cache per worker.
+
+    The tokenizer cuts a text at its special token, then by its pattern into pre-tokens, and merges bytes inside each pre-token
+    alone. A space between two characters that are not white space always begins a pre-token, and what follows it is cut the same
+    way alone as in the text; so texts are cut there first (a cheap split), and the ids of each piece are kept, at most ``bound`` of
+    them, like those of each pre-token. Beyond the bound the older half is forgotten.
+    """
+
+    def __init__(self, path: str, bound: int = 400_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
+        import json
+
+        import regex
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        config = json.load(open(path, encoding="utf-8"))
+        cut = config["pre_tokenizer"]
+        if cut.get("type") != "ByteLevel" or cut.get("add_prefix_space") or not cut.get("use_regex", True) or config.get("normalizer"):
+            raise ValueError("a byte-level tokenizer without normalizer or prefix space is expected")
+        self.model = Tokenizer.from_file(path).model
+        self.special = {t["content"]: np.array([t["id"]], "<u4").tobytes() for t in config["added_tokens"]}
+        self.split = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
+        # Fixed values of the byte-level format: its pre-token pattern, and the printable bytes that stand for themselves.
+        self.pattern = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
+        shown = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
+        extra = [b for b in range(256) if b not in shown]
+        self.byte_char = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(extra)}
+        self.safe = re.compile(r"(?<=\S)(?= \S)")
+        self.unsafe = re.compile(r"\s | \s")
+        self.words: dict[str, bytes] = {}
+        self.pieces = Pieces(self)
+        self.bound = bound
+
+    def word(self, word: str) -> bytes:
+        found = self.words.get(word)
+        if found is None:
+            if len(self.words) >= self.bound:
+                self.words = dict(list(self.words.items())[self.bound // 2 :])
+            mapped = "".join(self.byte_char[b] for b in word.encode())
+            found = self.words[word] = np.array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
+        return found
+
+    def encode(self, text: str) -> np.ndarray:
+        """Ids of ``text`` and then the end id, as little-endian unsigned 32-bit."""
+        parts = self.split.split(text) if self.split else [text]
+        out = []
+        for i, part in enumerate(parts):
+            if i % 2:
+                out.append(self.special[part])
+            elif part:
+                chunks = part.split(" ")
+                if chunks[0] and chunks[-1] and self.unsafe.search(part) is None:  # every space is a safe cut
+                    chunks[1:] = [" " + c for c in chunks[1:]]
+                else:
+                    chunks = self.safe.split(part)
+                out += map(self.pieces.__getitem__, chunks)
+        out.append(_END)
+        return np.frombuffer(b"".join(out), "<u4")
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.append(np.asarray(e.ids, "<u4"), np.uint32(END)).astype("<u4") for e in found]
+        return [self.encode(t) for t in texts]
+
+
+_END = np.array([END], "<u4").tobytes()
 
 
 @lru_cache(maxsize=2)

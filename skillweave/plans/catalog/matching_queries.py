@@ -12,6 +12,7 @@ from skillweave.operators.cleaning import clean_text
 from skillweave.operators.embedding import embed_text, inverse_frequencies, portable_hash
 from skillweave.operators.metrics import mean_precision_at_k, precision_at_k, relevant_ids
 from skillweave.operators.schema import attach_embeddings
+from skillweave.operators.cell_index import topk_cosine_cells
 from skillweave.operators.similarity import topk_cosine
 from skillweave.plans.catalog.registry import joined, query, r6, table, text_table
 from skillweave.plans.catalog.sql_parts import alnum, clean_ctes
@@ -96,6 +97,21 @@ def topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matching.topk_match(jobs, profiles.drop("Category")).select("JobID", "ID", "score", F.col("rank").cast("bigint").alias("rank"))
 
 
+@query(
+    "topk_cosine_cells",
+    """
+WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings)
+SELECT job AS "JobID", id AS "ID", score, rank FROM (
+  SELECT job, id, score, row_number() OVER (PARTITION BY job ORDER BY score DESC, id)::BIGINT AS rank FROM (
+    SELECT q.vec_id AS job, d.vec_id AS id, round(list_cosine_similarity(q.v, d.v), 6) AS score FROM e q, e d))
+WHERE rank <= 10""",
+)
+def topk_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector against all, through the cell index."""
+    jobs, profiles, _ = vector_tables(spark, sf_dir)
+    return topk_cosine_cells(jobs, profiles.drop("Category"), 10).select("JobID", "ID", "score", F.col("rank").cast("bigint").alias("rank"))
+
+
 @query(
     "match_precision_summary",
     RANKED_VECTORS

@@ -12,6 +12,7 @@ from skillweave.operators import cluster_quality as quality
 from skillweave.operators import clustering, features, metrics
 from skillweave.operators.cleaning import clean_text
 from skillweave.operators.embedding import embed_text, pca_reduce
+from skillweave.operators.kmeans_pass import kmeans_all
 from skillweave.plans.catalog.registry import query, r6, table, text_table
 from skillweave.plans.catalog.sql_parts import quality_values
 from skillweave.session import written
@@ -158,6 +159,14 @@ def sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clustering.kmeans_sweep(vectors(spark, sf_dir))[0]
 
 
+@query("kmeans_all_models")
+def all_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every (k, seed) of the full settings, k from 8 to 16 and ten restarts, fitted in shared passes."""
+    seeds = list(range(clustering.SEED, clustering.SEED + clustering.RESTARTS))
+    found = kmeans_all(vectors(spark, sf_dir), list(range(clustering.K_MIN, clustering.K_MAX + 1)), seeds)
+    return found.select("k", "seed", r6("inertia").alias("inertia"), "iterations", "best")
+
+
 @query("clustering_summary")
 def summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sweep with and without principal components, as the two lines of an ablation table."""

@@ -3,8 +3,9 @@
 Texts are cut into pieces at stops and line ends, pieces into words. Words seen at least ``MIN_COUNT`` times in their language get
 small ids: a word's hash bucket plus its rank inside the bucket, so no task numbers a whole vocabulary. A phrase of m words packs
 into one 128-bit number, b bits an id. An invertible permutation (a Feistel network over two 64-bit halves) spreads the packed
-numbers; the top ``QUOTIENT_BITS`` bits are the quotient and the other bits the full remainder, so (quotient, remainder) gives the
-phrase back and a count never mixes two phrases. Each task keeps a filter sorted by (quotient, remainder) with a count per slot for
+numbers of a level (as wide as m ids, rounded up to an even number of bits); the top ``QUOTIENT_BITS`` bits are the quotient and the
+other bits the full remainder, so (quotient, remainder) gives the phrase back and a count never mixes two phrases. The language's
+code and the quotient form one integer key, and a remainder of at most 63 bits travels as one long. Each task keeps a filter sorted by (quotient, remainder) with a count per slot for
 every batch it reads; Spark merges the filters of all tasks by quotient and remainder, adding counts.
 
 Phrases are counted level by level from two to ``MAX_WORDS`` words. A phrase of m words can reach ``MIN_COUNT`` only if both its
@@ -43,7 +44,6 @@ _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _REM = np.uint64((1 << (64 - QUOTIENT_BITS)) - 1)
 _LOWER_TABLE = str.maketrans(UPPER, LOWER)
 _PIECES, _WORDS = re.compile(PIECE_CUT), re.compile(WORD_CUT)
-COUNTED = "lang string, m int, quotient int, rem_hi long, rem_lo long, f long"
 
 
 def _mix(x: np.ndarray, key: int) -> np.ndarray:
@@ -53,16 +53,42 @@ def _mix(x: np.ndarray, key: int) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def permute(hi: np.ndarray, lo: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _split(hi: np.ndarray, lo: np.ndarray, half: int) -> tuple[np.ndarray, np.ndarray]:
+    """A number below 2^(2 half) as its upper and lower ``half`` bits."""
+    if half == 64:
+        return hi, lo
+    mask = np.uint64((1 << half) - 1)
+    return ((lo >> np.uint64(half)) | (hi << np.uint64(64 - half))) & mask, lo & mask
+
+
+def _unsplit(upper: np.ndarray, lower: np.ndarray, half: int) -> tuple[np.ndarray, np.ndarray]:
+    if half == 64:
+        return upper, lower
+    return upper >> np.uint64(64 - half), lower | (upper << np.uint64(half))
+
+
+def permute(hi: np.ndarray, lo: np.ndarray, width: int = 128) -> tuple[np.ndarray, np.ndarray]:
+    """An invertible map of numbers below 2^width (width even, at most 128) onto themselves: a Feistel network on two halves."""
+    half = width // 2
+    mask = np.uint64((1 << half) - 1)
+    upper, lower = _split(hi, lo, half)
     for key in _ROUNDS:
-        hi, lo = lo, hi ^ _mix(lo, key)
-    return hi, lo
+        upper, lower = lower, upper ^ (_mix(lower, key) & mask)
+    return _unsplit(upper, lower, half)
 
 
-def unpermute(hi: np.ndarray, lo: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def unpermute(hi: np.ndarray, lo: np.ndarray, width: int = 128) -> tuple[np.ndarray, np.ndarray]:
+    half = width // 2
+    mask = np.uint64((1 << half) - 1)
+    upper, lower = _split(hi, lo, half)
     for key in reversed(_ROUNDS):
-        hi, lo = lo ^ _mix(hi, key), hi
-    return hi, lo
+        upper, lower = lower ^ (_mix(upper, key) & mask), upper
+    return _unsplit(upper, lower, half)
+
+
+def width_of(m: int, bits: int) -> int:
+    """Bits of the filter of phrases of m words: the packed width, rounded up to an even number."""
+    return max(2, m * bits + (m * bits) % 2)
 
 
 def pack(ids: np.ndarray, starts: np.ndarray, m: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -93,9 +119,16 @@ def unpack(hi: np.ndarray, lo: np.ndarray, m: int, bits: int) -> np.ndarray:
     return out
 
 
-def quotient_filter(hi: np.ndarray, lo: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Quotients, remainders (high and low part) and counts of the packed numbers, sorted by quotient and remainder."""
-    ph, pl = permute(hi, lo)
+def _parts(width: int) -> tuple[int, int]:
+    """Bits of quotient and of remainder."""
+    q = min(QUOTIENT_BITS, width)
+    return q, width - q
+
+
+def quotient_filter(hi: np.ndarray, lo: np.ndarray, width: int = 128) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Quotients, remainders (bits above 64, and the lower 64 bits) and counts of the packed numbers, sorted by quotient and
+    remainder. The quotient is the top bits of the permuted number, the remainder all the others."""
+    ph, pl = permute(hi, lo, width)
     order = np.lexsort((pl, ph))
     ph, pl = ph[order], pl[order]
     new = np.ones(len(ph), bool)
@@ -103,12 +136,26 @@ def quotient_filter(hi: np.ndarray, lo: np.ndarray) -> tuple[np.ndarray, np.ndar
     at = np.flatnonzero(new)
     counts = np.diff(np.append(at, len(ph)))
     ph, pl = ph[at], pl[at]
-    return (ph >> np.uint64(64 - QUOTIENT_BITS)).astype(np.int32), (ph & _REM).astype(np.int64), pl.view(np.int64), counts.astype(np.int64)
-
-
-def restore(quotient: np.ndarray, rem_hi: np.ndarray, rem_lo: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    ph = (quotient.astype(np.uint64) << np.uint64(64 - QUOTIENT_BITS)) | rem_hi.astype(np.uint64)
-    return unpermute(ph, rem_lo.view(np.uint64))
+    _, r = _parts(width)
+    if r >= 64:
+        q, rh, rl = ph >> np.uint64(r - 64), ph & np.uint64((1 << (r - 64)) - 1), pl
+    elif r:
+        q, rh, rl = (ph << np.uint64(64 - r)) | (pl >> np.uint64(r)), np.zeros_like(ph), pl & np.uint64((1 << r) - 1)
+    else:
+        q, rh, rl = pl, np.zeros_like(ph), np.zeros_like(pl)
+    return q.astype(np.int32), rh.view(np.int64), rl.view(np.int64), counts.astype(np.int64)
+
+
+def restore(quotient: np.ndarray, rem_hi: np.ndarray, rem_lo: np.ndarray, width: int = 128) -> tuple[np.ndarray, np.ndarray]:
+    _, r = _parts(width)
+    q, rh, rl = quotient.astype(np.int64).view(np.uint64), rem_hi.view(np.uint64), rem_lo.view(np.uint64)
+    if r >= 64:
+        ph, pl = (q << np.uint64(r - 64)) | rh, rl
+    elif r:
+        ph, pl = q >> np.uint64(64 - r), (q << np.uint64(r)) | rl
+    else:
+        ph, pl = np.zeros_like(q), q
+    return unpermute(ph, pl, width)
 
 
 class Known:
@@ -178,9 +225,14 @@ def _encode(docs: DataFrame, vocab: dict) -> DataFrame:
     return docs.select(F.col("lang").cast("string"), F.col("text").cast("string")).mapInArrow(run, "lang string, ids binary")
 
 
-def _count_level(encoded: DataFrame, m: int, bits: int, known: Known | None) -> DataFrame:
-    """Phrases of m frequent words whose two phrases of m - 1 words are known (all, if ``known`` is None), as quotient filters."""
+def _count_level(encoded: DataFrame, m: int, bits: int, known: Known | None, codes: dict[str, int]) -> DataFrame:
+    """Phrases of m frequent words whose two phrases of m - 1 words are known (all, if ``known`` is None), merged from the quotient
+    filters of the tasks: ``key`` (language code and quotient), remainder, count; only counts of at least ``MIN_COUNT``."""
     shared = encoded.sparkSession.sparkContext.broadcast(None if known is None else known.sets)
+    width = width_of(m, bits)
+    one = _parts(width)[1] <= 63  # the remainder fits one long
+    names = ["key", "rem_lo", "f"] if one else ["key", "rem_hi", "rem_lo", "f"]
+    schema = ", ".join(f"{n} {'int' if n == 'key' else 'long'}" for n in names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         have = None if shared.value is None else Known([], np.zeros(0, np.uint64), np.zeros(0, np.uint64), shared.value)
@@ -196,25 +248,31 @@ def _count_level(encoded: DataFrame, m: int, bits: int, known: Known | None) ->
                     starts = starts[ok]
                 if not len(starts):
                     continue
-                q, rh, rl, c = quotient_filter(*pack(ids, starts, m, bits))
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(q), pa.string()), pa.array(np.full(len(q), m, np.int32)), pa.array(q), pa.array(rh), pa.array(rl), pa.array(c)],
-                                                 names=["lang", "m", "quotient", "rem_hi", "rem_lo", "f"])
+                q, rh, rl, c = quotient_filter(*pack(ids, starts, m, bits), width)
+                cols = {"key": (q | np.int32(codes[lang] << QUOTIENT_BITS)).astype(np.int32), "rem_hi": rh, "rem_lo": rl, "f": c}
+                yield pa.RecordBatch.from_arrays([pa.array(cols[n]) for n in names], names=names)
 
-    counted = encoded.mapInArrow(run, COUNTED)
-    return counted.groupBy("lang", "m", "quotient", "rem_hi", "rem_lo").agg(F.sum("f").alias("f")).where(F.col("f") >= MIN_COUNT)
+    counted = encoded.mapInArrow(run, schema)
+    return counted.groupBy(*names[:-1]).agg(F.sum("f").alias("f")).where(F.col("f") >= MIN_COUNT)
 
 
-def _decoded(merged: DataFrame, bits: int) -> DataFrame:
+def _decoded(merged: DataFrame, m: int, bits: int, codes: dict[str, int]) -> DataFrame:
     """Frequent phrases of a level: language, m, ids, packed halves, count."""
+    width = width_of(m, bits)
+    langs = {c: lang for lang, c in codes.items()}
+    one = "rem_hi" not in merged.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            m = batch.column(1).to_numpy()
-            hi, lo = restore(batch.column(2).to_numpy(), batch.column(3).to_numpy(), batch.column(4).to_numpy())
-            ids = [unpack(hi[i : i + 1], lo[i : i + 1], int(m[i]), bits)[0].astype(np.int32).tolist() for i in range(len(m))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.list_(pa.int32())), pa.array(hi.view(np.int64)), pa.array(lo.view(np.int64)), batch.column(5)],
+            key = batch.column("key").to_numpy()
+            rl = batch.column("rem_lo").to_numpy()
+            rh = np.zeros_like(rl) if one else batch.column("rem_hi").to_numpy()
+            hi, lo = restore(key & ((1 << QUOTIENT_BITS) - 1), rh, rl, width)
+            ids = unpack(hi, lo, m, bits).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array([langs[int(k) >> QUOTIENT_BITS] for k in key], pa.string()), pa.array(np.full(len(key), m, np.int32)),
+                                              pa.array(list(ids), pa.list_(pa.int32())), pa.array(hi.view(np.int64)), pa.array(lo.view(np.int64)), batch.column("f")],
                                              names=["lang", "m", "ids", "hi", "lo", "f"])
 
     return merged.mapInArrow(run, "lang string, m int, ids array<int>, hi long, lo long, f long")
@@ -242,6 +300,9 @@ def frequent_phrases(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     words: dict[str, dict[str, int]] = {}
     for lang, word, i in vocab.select("lang", "word", "id").toLocalIterator():
         words.setdefault(lang, {})[word] = i
+    codes = {lang: c for c, lang in enumerate(sorted(words))}
+    if len(codes) > 1 << (31 - QUOTIENT_BITS):
+        raise ValueError(f"{len(codes)} languages; the filter key holds {1 << (31 - QUOTIENT_BITS)}")
     encoded = written(_encode(docs, words), "collocation_ids")
     level = vocab.select("lang", F.col("id").cast("long").alias("hi"))
     known_rows = [(r.lang, 0, r.hi) for r in level.toLocalIterator()]
@@ -249,7 +310,7 @@ def frequent_phrases(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         known = None
         if known_rows is not None:
             known = Known([r[0] for r in known_rows], np.array([r[1] for r in known_rows], np.int64).view(np.uint64), np.array([r[2] for r in known_rows], np.int64).view(np.uint64))
-        found = written(_decoded(_count_level(encoded, m, bits, known), bits), f"collocation_level_{m}")
+        found = written(_decoded(_count_level(encoded, m, bits, known, codes), m, bits, codes), f"collocation_level_{m}")
         grams = grams.unionByName(found.select("lang", "m", "ids", "f"))
         many = found.count()
         if not many:

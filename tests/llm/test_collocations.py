@@ -17,13 +17,23 @@ def test_permutation_and_packing_are_lossless():
     hi, lo = rng.integers(0, 2**63, 5000).astype(np.uint64), rng.integers(0, 2**63, 5000).astype(np.uint64)
     back = C.unpermute(*C.permute(hi, lo))
     assert (back[0] == hi).all() and (back[1] == lo).all()
+    for width in (2, 10, 34, 64, 86, 126):
+        h = hi >> np.uint64(max(0, 128 - width)) if width > 64 else np.zeros_like(hi)
+        l = lo if width >= 64 else lo & np.uint64((1 << width) - 1)
+        if width > 64:
+            h = h & np.uint64((1 << (width - 64)) - 1)
+        ph, pl = C.permute(h, l, width)
+        assert (ph < np.uint64(1 << max(0, width - 64))).all() if width > 64 else (ph == 0).all()
+        back = C.unpermute(ph, pl, width)
+        assert (back[0] == h).all() and (back[1] == l).all()
     for bits in (3, 17, 25):
         ids = rng.integers(1, 2**bits, 400).astype(np.uint64)
         starts = np.arange(0, 395)
         for m in range(1, 6):
             h, l = C.pack(ids, starts, m, bits)
-            q, rh, rl, counts = C.quotient_filter(h, l)
-            h2, l2 = C.restore(q, rh, rl)
+            q, rh, rl, counts = C.quotient_filter(h, l, C.width_of(m, bits))
+            assert (q >= 0).all() and (q < 1 << C.QUOTIENT_BITS).all()
+            h2, l2 = C.restore(q, rh, rl, C.width_of(m, bits))
             got = sorted(map(tuple, C.unpack(h2, l2, m, bits).tolist()))
             assert got == sorted({tuple(ids[s : s + m].tolist()) for s in starts}) and counts.sum() == len(starts)
 

@@ -109,7 +109,11 @@ class Pieces(dict):
             kept = list(self.items())[coder.bound // 2 :]  # the older half is forgotten
             self.clear()
             self.update(kept)
-        self[piece] = found = b"".join(map(coder.word, coder.pattern.findall(piece)))
+        if piece.isalpha() or (piece[:1] == " " and piece[1:].isalpha()):  # letters, with a space or not, are one pre-token
+            found = coder.word(piece)
+        else:
+            found = b"".join(map(coder.word, coder.pattern.findall(piece)))
+        self[piece] = found
         return found
 
 
@@ -122,7 +126,7 @@ class Encoder:
     them, like those of each pre-token. Beyond the bound the older half is forgotten.
     """
 
-    def __init__(self, path: str, bound: int = 400_000):
+    def __init__(self, path: str, bound: int = 1_000_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         import json
 
@@ -140,7 +144,7 @@ class Encoder:
         self.pattern = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
         shown = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
         extra = [b for b in range(256) if b not in shown]
-        self.byte_char = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(extra)}
+        self.byte_char = str.maketrans({chr(b): chr(b) for b in shown} | {chr(b): chr(256 + i) for i, b in enumerate(extra)})
         self.safe = re.compile(r"(?<=\S)(?= \S)")
         self.unsafe = re.compile(r"\s | \s")
         self.words: dict[str, bytes] = {}
@@ -152,7 +156,7 @@ class Encoder:
         if found is None:
             if len(self.words) >= self.bound:
                 self.words = dict(list(self.words.items())[self.bound // 2 :])
-            mapped = "".join(self.byte_char[b] for b in word.encode())
+            mapped = word.encode().decode("latin-1").translate(self.byte_char)
             found = self.words[word] = np.array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
         return found
 

@@ -68,9 +68,13 @@ def kmeans_assign(model: KMeansModel, df: DataFrame, vector: str = "embedding")
 def assign_nearest(points: DataFrame, centres: DataFrame, vector: str = "embedding", out: str = "cluster_id") -> DataFrame:
     """``points`` with the id of the nearest row of ``centres`` (cluster_id, centre), the lower id on ties.
 
-    The centres travel to the points in blocks of bounded size, in the order of their ids; a point without a vector gets no id.
+    The centres travel to the points in blocks of bounded size, in the order of their ids; a point without a vector gets no id,
+    and without centres no point gets one.
     """
-    width = centres.select(F.size("centre").alias("width")).first()["width"]
+    first = centres.select(F.size("centre").alias("width")).first()
+    if first is None:
+        return points.withColumn(out, F.lit(None).cast("long"))
+    width = first["width"]
     most = max(1, MAX_CENTRE_VALUES // width)
     best, rest = None, centres.select("cluster_id", "centre")
     while (block := rest.orderBy("cluster_id").limit(most).toArrow()).num_rows:

@@ -119,6 +119,12 @@ def test_assign_nearest_in_blocks_of_centres(spark, monkeypatch):
     assert rows(clustering.assign_nearest(points, centres), "ID", "cluster_id") == [(i, 7 - i) for i in range(8)] + [(9, None)]
 
 
+def test_assign_nearest_without_centres(spark):
+    points = spark.createDataFrame([(1, [0.0]), (2, None)], "ID int, embedding array<double>")
+    centres = spark.createDataFrame([], "cluster_id int, centre array<double>")
+    assert rows(clustering.assign_nearest(points, centres), "ID", "cluster_id") == [(1, None), (2, None)]
+
+
 def test_kmeans_fit_keeps_the_best_restart(blobs):
     df = blobs[0].where("label < 7")
     assert clustering.kmeans_fit(df, 3, n_init=4).summary.trainingCost <= clustering.kmeans_fit(df, 3, n_init=1).summary.trainingCost

@@ -8,7 +8,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from skillweave.functions.vectors import cosine, l2_normalise
-from skillweave.operators import matching
+from skillweave.operators import matching, similarity
 from skillweave.operators.categories import category_variants, infer_categories
 from skillweave.operators.similarity import rank_by_cosine, score_pairs, topk_cosine
 
@@ -48,6 +48,31 @@ def test_topk_equals_brute_force_on_both_paths(spark, points, limit, prune):
     assert rows(found, "JobID", "ID", "rank") == brute(queries, items, 7)
 
 
+def test_blocks_send_only_the_best_of_each_query_to_the_merge(spark, points, monkeypatch):
+    queries, items = points
+    q = spark.createDataFrame(queries, f"JobID string, {VECTORS}")
+    d = spark.createDataFrame(items * 40, f"ID string, {VECTORS}").repartition(5)
+    sent, merge = [], similarity.top_within
+
+    def counted(partial, *options):
+        sent.append(partial.count())
+        return merge(partial, *options)
+
+    monkeypatch.setattr(similarity, "top_within", counted)
+    found = topk_cosine(q, d, 4, max_broadcast_values=3 * 7, prune_from_tasks=None)
+    assert rows(found, "JobID", "ID", "rank") == brute(queries, items * 40, 4)
+    assert sent == [4 * len(queries)]
+
+
+def test_candidates_are_those_in_the_evaluated_places(spark, points):
+    queries, items = points
+    jobs = spark.createDataFrame(queries, f"JobID string, {VECTORS}")
+    profiles = spark.createDataFrame([(i, "A", v) for i, v in items], f"ID string, Category string, {VECTORS}")
+    matched = jobs.select("JobID", F.array(F.lit("A")).alias("matched_categories"))
+    candidates = matching.rank_candidates(jobs, profiles, matched, top_k=3)
+    assert candidates.count() == 10 * len(queries)
+
+
 def test_topk_with_fewer_items_than_k_and_none(spark):
     q = spark.createDataFrame([(1, [1.0, 0.0])], f"JobID bigint, {VECTORS}")
     d = spark.createDataFrame([(5, [1.0, 0.0]), (4, [1.0, 0.0])], f"ID bigint, {VECTORS}")

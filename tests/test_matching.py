@@ -73,6 +73,41 @@ def test_candidates_are_those_in_the_evaluated_places(spark, points):
     assert candidates.count() == 10 * len(queries)
 
 
+@pytest.mark.parametrize("blocks", [False, True])
+def test_lists_per_job_rank_as_the_rows_do(spark, points, blocks):
+    queries, items = points
+    # Repeated and missing job ids, a job matched twice, one not at all, a profile without a category.
+    jobs = spark.createDataFrame([(q, v) for q, v in queries] + [queries[0], ("q01", [1.0, 0.0, 0.0]), (None, [0.0, 1.0, 0.0])], f"JobID string, {VECTORS}")
+    profiles = spark.createDataFrame([(i, None if n == 3 else "ABC"[n % 3], v) for n, (i, v) in enumerate(items)], f"ID string, Category string, {VECTORS}")
+    wanted = [(q, ["A"] if n % 2 else ["B", "C"]) for n, (q, _) in enumerate(queries[:-3])] + [("q00", ["C"]), ("q05", None)]
+    matched = spark.createDataFrame(wanted, "JobID string, matched_categories array<string>")
+    limit = 3 * 7 if blocks else similarity.MAX_BROADCAST_VALUES
+    ranked = topk_cosine(jobs, profiles, 20, carry=["Category"], max_broadcast_values=limit, prune_from_tasks=None)
+    known = ranked.join(matched, "JobID", "left").withColumn("matched_categories", F.coalesce("matched_categories", F.array().cast("array<string>")))
+    expected = matching.rerank_pool(known, 0.2, 12).where("final_rank <= 9")
+    lists = similarity.nearest_lists(jobs, profiles, 20, carry=["Category"], max_broadcast_values=limit, prune_from_tasks=None)
+    assert lists.count() == len(queries) + 1
+    columns = ["JobID", "ID", "Category", "score", "matched_categories", "relevant", "boosted", "final_rank"]
+    odd = ("q00", "q01", "q05")
+    once = [r for r in rows(expected, *columns) if r[0] not in odd]
+    found = matching.rerank_lists(lists, matched, 0.2, 12, 9)
+    assert [r for r in rows(found, *columns) if r[0] not in odd] == once
+    # Of rows that are alike in all that orders them either may come first, so the repeated ids compare without what tells them apart.
+    several = ["JobID", "ID", "score", "boosted", "final_rank"]
+    assert rows(found.where(F.col("JobID").isin(*odd)), *several) == rows(expected.where(F.col("JobID").isin(*odd)), *several)
+
+
+def test_ranked_pairs_of_blocks_are_neither_shuffled_nor_sorted(spark, points, monkeypatch):
+    queries, items = points
+    monkeypatch.setattr(similarity, "MAX_BROADCAST_RESULTS", 300 * 5)
+    jobs = spark.createDataFrame(queries, f"JobID string, {VECTORS}")
+    profiles = spark.createDataFrame([(i, "A", v) for i, v in items], f"ID string, Category string, {VECTORS}")
+    matched = jobs.select("JobID", F.array(F.lit("A")).alias("matched_categories"))
+    plan = matching.rank_candidates(jobs, profiles, matched)._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan
+    assert "Window" not in plan[: plan.index("MapInArrow")]
+
+
 def test_topk_with_fewer_items_than_k_and_none(spark):
     q = spark.createDataFrame([(1, [1.0, 0.0])], f"JobID bigint, {VECTORS}")
     d = spark.createDataFrame([(5, [1.0, 0.0]), (4, [1.0, 0.0])], f"ID bigint, {VECTORS}")

@@ -28,14 +28,16 @@ from pyspark.sql import types as T
 
 from skillweave.functions.vectors import unit_rows
 from skillweave.operators.ranking import top_within
+from skillweave.operators.similarity import NO_FLOOR, SCALE, _Best
 from skillweave.session import written
 
-SCALE = 1_000_000
 CELL_ROWS = 2_000
 MAX_CELLS = 4_096
 SAMPLE_ROWS = 50_000
 SHARD_ROWS = 20_000
 BLOCK_ROWS = 20_000
+#: Rows turned into a matrix, or sent on, at once.
+READ_ROWS = 2_048
 FIT_ROUNDS = 5
 #: Room for float error in bounds: a cell is skipped only when its bound is below the floor by more than this.
 MARGIN = 4e-6
@@ -47,6 +49,14 @@ def _matrix(values: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, np.float64) for v in values])
 
 
+def _slices(frames: Iterator[pd.DataFrame], vector: str) -> Iterator[pd.DataFrame]:
+    """Rows that have a vector, at most ``READ_ROWS`` at once, so that what is made of them stays small."""
+    for frame in frames:
+        frame = frame[frame[vector].notna()]
+        for start in range(0, len(frame), READ_ROWS):
+            yield frame.iloc[start : start + READ_ROWS]
+
+
 def fit_centres(items: DataFrame, item_id: str, vector: str, cells: int, sample_rows: int = SAMPLE_ROWS) -> np.ndarray:
     """``cells`` unit centres by a few Lloyd rounds on the (at most ``sample_rows``) items of smallest id hash."""
     sample = (items.where(F.col(vector).isNotNull()).select(F.xxhash64(item_id).alias("h"), item_id, vector)
@@ -70,10 +80,7 @@ def _cells_of(items: DataFrame, centres: np.ndarray, item_id: str, vector: str,
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         mids = shared.value
-        for frame in frames:
-            frame = frame[frame[vector].notna()]
-            if not len(frame):
-                continue
+        for frame in _slices(frames, vector):
             points = unit_rows(_matrix(frame[vector]))
             near = points @ mids.T
             cell = np.argmax(near, axis=1)
@@ -100,10 +107,7 @@ def _visits(queries: DataFrame, index: tuple, k: int, query_id: str, vector: str
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         mids, radius, sizes = shared.value
-        for frame in frames:
-            frame = frame[frame[vector].notna()]
-            if not len(frame):
-                continue
+        for frame in _slices(frames, vector):
             q = unit_rows(_matrix(frame[vector]))
             bound = _bounds(q, mids, radius)
             order = np.argsort(-bound, axis=1, kind="stable")
@@ -120,12 +124,21 @@ def _visits(queries: DataFrame, index: tuple, k: int, query_id: str, vector: str
                 floor = frame["_floor"].to_numpy(np.float64, na_value=-np.inf)
                 pick = ~home & (bound >= floor[:, None] - MARGIN)
             rows, cells = np.nonzero(pick)
-            if len(rows):
-                yield pd.DataFrame({query_id: frame[query_id].to_numpy()[rows], vector: list(q[rows]), "cell": cells.astype(np.int32)})
+            ids = frame[query_id].to_numpy()
+            for start in range(0, len(rows), READ_ROWS):
+                some = rows[start : start + READ_ROWS]
+                yield pd.DataFrame({query_id: ids[some], vector: list(q[some]), "cell": cells[start : start + READ_ROWS].astype(np.int32)})
 
     return source.mapInPandas(run, schema)
 
 
+def _nearest_places(q: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place in ``q``, place in ``x``, score) of the best ``k`` of each query, scored block against block; ties to the first place."""
+    best = _Best(np.arange(len(q)), q, np.full(len(q), NO_FLOOR), k)
+    best.add([np.arange(len(x))], x)
+    return best.found()
+
+
 def _score(visits: DataFrame, placed: DataFrame, cells: DataFrame, k: int, query_id: str, item_id: str, vector: str, carry: list[str], out: T.StructType) -> DataFrame:
     """Best ``k`` items of each query among the cells it visits."""
     visits = written(visits, "cell_visits")
@@ -142,18 +155,11 @@ def _score(visits: DataFrame, placed: DataFrame, cells: DataFrame, k: int, query
         if not len(qs) or not len(xs):
             return pd.DataFrame({f.name: pd.Series(dtype=object) for f in out.fields})
         xs = xs.sort_values(item_id, kind="stable")
-        q, x = _matrix(qs[vector]), _matrix(xs[vector])
-        width = len(x)
-        scaled = np.rint(q @ x.T * SCALE).astype(np.int64)
-        key = (SCALE - scaled) * width + np.arange(width)  # score, then item id, as one integer
-        take = min(k, width)
-        best = np.argpartition(key, take - 1, axis=1)[:, :take] if take < width else np.tile(np.arange(width), (len(q), 1))
-        rows = np.repeat(np.arange(len(q)), take)
-        cols = best.ravel()
+        rows, cols, scores = _nearest_places(_matrix(qs[vector]), _matrix(xs[vector]), k)
         got = {query_id: qs[query_id].to_numpy()[rows]}
         for c in (item_id, *carry):
             got[c] = xs[c].to_numpy()[cols]
-        got["score"] = scaled[rows, cols] / SCALE
+        got["score"] = scores
         return pd.DataFrame(got)
 
     keys = ["cell", "shard", "block"]

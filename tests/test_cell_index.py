@@ -56,3 +56,34 @@ def test_clustered_vectors_are_pruned(spark):
 def test_empty_items(spark):
     got = C.topk_cosine_cells(spark.createDataFrame([(1, [1.0, 0.0])], SCHEMA_Q), spark.createDataFrame([], SCHEMA_I), 3)
     assert got.count() == 0
+
+
+def test_visits_leave_in_small_frames(spark):
+    """Every query visits every cell; what a task sends on at once stays bounded."""
+    index = (np.eye(16), np.full(16, np.pi), np.ones(16, np.int64))
+    rng = np.random.default_rng(4)
+    queries = spark.createDataFrame([(i, v) for i, v in enumerate(rng.normal(size=(3000, 16)).tolist())], SCHEMA_Q).coalesce(1)
+    run = C._visits(queries, index, 16, "JobID", "embedding", None)
+    assert run.count() == 3000 * 16
+    frame = queries.toPandas()
+    sizes = [len(f) for f in C._slices(iter([frame]), "embedding")]
+    assert sum(sizes) == 3000 and max(sizes) <= C.READ_ROWS
+
+
+def test_scoring_a_group_needs_little_memory():
+    """20,000 queries against 6,000 items of a cell: the table of all pairs alone would be 960 MB."""
+    import tracemalloc
+
+    rng = np.random.default_rng(5)
+    q, x = (rng.normal(size=(n, 4)) for n in (20_000, 6_000))
+    tracemalloc.start()
+    found = C._nearest_places(q, x, 3)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200_000_000
+    rows_, cols, scores = found
+    assert len(rows_) == 60_000 and (np.bincount(rows_) == 3).all()
+    unit = lambda m: m / np.linalg.norm(m, axis=1, keepdims=True)
+    for at in (0, 19_999):
+        exact = np.rint(unit(q)[at] @ unit(x).T * 1_000_000)
+        assert set(cols[rows_ == at]) == set(np.lexsort((np.arange(len(x)), -exact))[:3])

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skillweave.functions.arrays import let
 from skillweave.functions.text import alnum_normalise, text_or_empty
@@ -11,6 +14,8 @@ from skillweave.operators.joins import lookup_join
 from skillweave.session import cut_lineage
 
 MAX_INLINE_VARIANTS = 2_000
+#: All characters of a normalised text.
+LETTERS = " 0123456789abcdefghijklmnopqrstuvwxyz"
 
 # Wording of job posts that stands for a category.
 CATEGORY_ALIASES: dict[str, list[str]] = {
@@ -106,42 +111,57 @@ def _match_inline(normal: DataFrame, few: list, key: str, word_boundary: bool) -
     return normal.select(key, F.transform(found, lambda c: c["category"]).alias("matched_categories"))
 
 
+def _grams_found(text: Column, wanted: list[str], df: DataFrame) -> Column:
+    """Which of the ``wanted`` grams occur in a normalised text: one to three of 37 characters, so at most 52,059 of them."""
+    place = {c: i for i, c in enumerate(LETTERS)}
+    number = np.full(sum(len(LETTERS) ** n for n in (1, 2, 3)), -1, np.int32)
+    for at, gram in enumerate(wanted):
+        code = sum(place[c] * len(LETTERS) ** i for i, c in enumerate(reversed(gram)))
+        number[code + sum(len(LETTERS) ** n for n in range(1, len(gram)))] = at
+    letter = np.zeros(256, np.int32)
+    letter[np.frombuffer(LETTERS.encode(), np.uint8)] = np.arange(len(LETTERS))
+    shared = df.sparkSession.sparkContext.broadcast((letter, number, np.array(wanted, dtype=object)))
+
+    @F.arrow_udf(T.ArrayType(T.StringType()))
+    def found(column: pa.Array) -> pa.Array:
+        letter, number, wanted = shared.value
+        base, out = len(LETTERS), []
+        for text in column:
+            one = letter[np.frombuffer((text.as_py() or "").encode(), np.uint8)]
+            two = one[:-1] * base + one[1:]
+            three = two[:-1] * base + one[2:]
+            at = np.concatenate([number[one], number[two + base], number[three + base + base * base]])
+            out.append(wanted[np.unique(at[at >= 0])].tolist())
+        return pa.array(out, pa.list_(pa.string()))
+
+    return found(text)
+
+
 def _match_by_grams(normal: DataFrame, variants: DataFrame, key: str, word_boundary: bool) -> DataFrame:
     """Many variants: equi-join on a key every match must share, then verify the candidates.
 
-    A variant inside a text shares all its letter grams with it, so one gram, the rarest, is a
-    sound key; a variant whose words all occur shares its longest word.
+    A variant inside a text has its longest word there, and so has one whose words all occur; with the word come its letter
+    grams, so one of these, the rarest in the texts, is a sound key. Only grams of variants ever leave a text's row.
     """
 
-    def grams(of: Column, width: int) -> Column:
-        # Overlapping matches of a look-ahead: one pass over the text.
-        return F.regexp_extract_all(of, F.lit(f"(?=(.{{{width}}}))"), F.lit(1))
-
-    def key_grams(of: Column) -> Column:
-        return F.when(F.length(of) >= 3, grams(of, 3)).otherwise(F.array(of))
-
-    every = F.concat(*[grams(F.col("_text"), width) for width in (1, 2, 3)])
-    of_text = normal.select(key, F.explode(F.array_distinct(every)).alias("_gram"))
-    frequency = of_text.groupBy("_gram").agg(F.count("*").alias("_df"))
-    rarest = (
-        variants.select("Category", "variant", F.explode(F.array_distinct(key_grams(F.col("variant")))).alias("_gram"))
-        .join(frequency, "_gram")
-        .groupBy("Category", "variant")
-        .agg(F.min_by("_gram", F.struct("_df", "_gram")).alias("_gram"))
-    )
-    rarest = cut_lineage(rarest)
-    by_word = variants.select(
-        "Category",
-        "variant",
-        F.element_at(F.array_sort(F.transform(F.split("variant", " "), lambda w: F.struct(F.length(w).alias("n"), w.alias("w")))), -1)["w"].alias("_word"),
+    def grams(word: Column) -> Column:
+        # Overlapping matches of a look-ahead: one pass over the word.
+        return F.when(F.length(word) >= 3, F.regexp_extract_all(word, F.lit("(?=(.{3}))"), F.lit(1))).otherwise(F.array(word))
+
+    sized = F.transform(F.split("variant", " "), lambda w: F.struct(F.length(w).alias("n"), w.alias("w")))
+    longest = F.element_at(F.array_sort(sized), -1)["w"]
+    of_variant = cut_lineage(variants.select("Category", "variant", F.explode(F.array_distinct(grams(longest))).alias("_gram")))
+
+    def in_texts(chosen: DataFrame) -> DataFrame:
+        wanted = sorted(row[0] for row in chosen.select("_gram").distinct().collect())
+        return normal.select(key, F.explode(_grams_found(F.col("_text"), wanted, normal)).alias("_gram"))
+
+    frequency = in_texts(of_variant).groupBy("_gram").agg(F.count("*").alias("_df"))
+    rarest = cut_lineage(
+        of_variant.join(frequency, "_gram").groupBy("Category", "variant").agg(F.min_by("_gram", F.struct("_df", "_gram")).alias("_gram"))
     )
-    of_words = normal.select(key, F.explode(F.array_distinct(F.split("_text", " "))).alias("_word"))
     candidates = (
-        lookup_join(of_text, rarest, "_gram")
-        .select(key, "Category", "variant")
-        .unionByName(lookup_join(of_words, by_word, "_word").select(key, "Category", "variant"))
-        .groupBy(key)
-        .agg(F.collect_set(F.struct("Category", "variant")).alias("_candidates"))
+        lookup_join(in_texts(rarest), rarest, "_gram").groupBy(key).agg(F.collect_set(F.struct("Category", "variant")).alias("_candidates"))
     )
     body = F.struct(_padded().alias("padded"), F.array_distinct(F.split("_text", " ")).alias("tokens"))
     kept = let(
@@ -149,5 +169,5 @@ def _match_by_grams(normal: DataFrame, variants: DataFrame, key: str, word_bound
     )
     names = F.array_sort(F.array_distinct(F.transform(kept, lambda c: c["Category"])))
     return normal.join(candidates, key, "left").select(
-        key, F.coalesce(names, F.array().cast("array<string>")).alias("matched_categories")
+        key, F.when(F.col("_candidates").isNotNull(), names).otherwise(F.array().cast("array<string>")).alias("matched_categories")
     )

@@ -15,6 +15,7 @@ from skillweave.operators.joins import lookup_join
 from skillweave.session import written
 
 MAX_INLINE_LEMMAS = 200_000
+ROWS_AT_ONCE = 512
 
 # Noun endings and what replaces them.
 NOUN_SUFFIXES: tuple[tuple[str, str], ...] = (
@@ -74,28 +75,35 @@ def lemmatise(
     else:
         named = lemmas.where("surface IS NOT NULL AND lemma IS NOT NULL")
         table = named.groupBy("surface").agg(F.min_by("lemma", F.struct(F.length("lemma"), "lemma")).alias("lemma"))
+    table = written(table, "lemmas")  # read several times, and building it is a pass over the texts
     head = table.limit(max_inline_lemmas + 1).toArrow()
     if head.num_rows <= max_inline_lemmas:
         return _lemmatise_inline(df, tokens, head)
-    return _lemmatise_by_join(df, tokens, written(table, "lemmas"), key, any_token=lemmas is not None)
+    return _lemmatise_by_join(written(df, "tokens"), tokens, table, key, any_token=lemmas is not None)
+
+
+def _replaced(column: pa.Array, surfaces: pa.Array, forms: pa.Array) -> pa.Array:
+    """Lists of words with every word of ``surfaces`` replaced, some rows at a time: what is made on the way stays small."""
+
+    def some(part: pa.Array) -> pa.Array:
+        words = part.flatten()
+        changed = pc.coalesce(pc.take(forms, pc.index_in(words, value_set=surfaces)), words)
+        lengths = pc.fill_null(pc.list_value_length(part), 0)
+        offsets = pa.concat_arrays([pa.array([0], pa.int32()), pc.cumulative_sum(lengths).cast(pa.int32())])
+        return pa.ListArray.from_arrays(offsets, changed, mask=pc.is_null(part))
+
+    parts = [some(column.slice(start, ROWS_AT_ONCE)) for start in range(0, len(column), ROWS_AT_ONCE)]
+    return pa.concat_arrays(parts) if parts else column
 
 
 def _lemmatise_inline(df: DataFrame, tokens: str, table: pa.Table) -> DataFrame:
     if not table.num_rows:
         return df
-    shared = df.sparkSession.sparkContext.broadcast(
-        (table.column("surface").to_pylist(), table.column("lemma").to_pylist())
-    )
+    shared = df.sparkSession.sparkContext.broadcast(tuple(table.column(c).combine_chunks().cast(pa.string()) for c in ("surface", "lemma")))
 
     @F.arrow_udf(T.ArrayType(T.StringType()))
     def replace(column: pa.Array) -> pa.Array:
-        surfaces, forms = shared.value
-        words = column.flatten()
-        at = pc.index_in(words, value_set=pa.array(surfaces, words.type))
-        changed = pc.coalesce(pc.take(pa.array(forms, words.type), at), words)
-        lengths = pc.fill_null(pc.list_value_length(column), 0)
-        offsets = pa.concat_arrays([pa.array([0], pa.int32()), pc.cumulative_sum(lengths).cast(pa.int32())])
-        return pa.ListArray.from_arrays(offsets, changed, mask=pc.is_null(column))
+        return _replaced(column, *shared.value)
 
     return df.withColumn(tokens, replace(F.col(tokens)))
 
@@ -106,10 +114,17 @@ def _lemmatise_by_join(df: DataFrame, tokens: str, table: DataFrame, key: str, a
     found = (
         lookup_join(words, table, "surface", max_broadcast_rows=0)
         .groupBy(key)
-        .agg(F.map_from_entries(F.collect_list(F.struct("surface", "lemma"))).alias("_lemmas"))
+        .agg(F.collect_list(F.struct("surface", "lemma")).alias("_lemmas"))
     )
-    replaced = F.transform(tokens, lambda t: F.coalesce(F.element_at("_lemmas", t), t))
-    return df.join(found, key, "left").withColumn(tokens, F.when(F.col("_lemmas").isNull(), F.col(tokens)).otherwise(replaced)).drop("_lemmas")
+
+    # A surface has one lemma, so those that the rows of a batch bring along serve all of them.
+    @F.arrow_udf(T.ArrayType(T.StringType()))
+    def replace(column: pa.Array, lemmas: pa.Array) -> pa.Array:
+        known = pa.Table.from_struct_array(lemmas.flatten()).group_by("surface").aggregate([("lemma", "min")])
+        surfaces, forms = (known.column(c).combine_chunks().cast(pa.string()) for c in ("surface", "lemma_min"))
+        return _replaced(column, surfaces, forms)
+
+    return df.join(found, key, "left").withColumn(tokens, replace(F.col(tokens), F.col("_lemmas"))).drop("_lemmas")
 
 
 def clean_text(

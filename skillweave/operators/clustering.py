@@ -34,8 +34,12 @@ def _vectors(df: DataFrame, vector: str) -> DataFrame:
 def _fit_all(points: DataFrame, runs: list[tuple[int, int]], parallelism: int) -> dict[int, KMeansModel]:
     """Fit every (k, seed) of ``runs``, several at a time, and keep the best of each k by inertia."""
 
+    # A view of the kept points that is not kept itself: MLlib then holds its own vectors during a fit, instead of
+    # turning every row into one again at each step.
+    view = points.select("_features").where(F.lit(True))
+
     def attempt(run: tuple[int, int]) -> KMeansModel:
-        return KMeans(k=run[0], seed=run[1], featuresCol="_features", predictionCol="cluster_id").fit(points)
+        return KMeans(k=run[0], seed=run[1], featuresCol="_features", predictionCol="cluster_id").fit(view)
 
     best: dict[int, KMeansModel] = {}
     with ThreadPool(max(1, min(parallelism, len(runs)))) as pool:

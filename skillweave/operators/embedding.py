@@ -18,6 +18,7 @@ from skillweave.functions.text import gram_terms, text_or_empty
 from skillweave.functions.vectors import from_matrix, unit_rows
 
 EMBEDDING_DIM = 384
+ROWS_AT_ONCE = 512
 
 
 def fast_hash(term: Column) -> Column:
@@ -77,6 +78,11 @@ def embed_text(
 
     @F.arrow_udf(T.ArrayType(T.DoubleType()))
     def accumulate(hashes: pa.Array) -> pa.Array:
+        # Some rows at a time: the table of all sums is as wide as the vectors and in double.
+        parts = [some(hashes.slice(start, ROWS_AT_ONCE)) for start in range(0, len(hashes), ROWS_AT_ONCE)]
+        return pa.concat_arrays(parts) if parts else from_matrix(np.zeros((0, dim)))
+
+    def some(hashes: pa.Array) -> pa.Array:
         values = hashes.flatten().to_numpy(zero_copy_only=False)
         lengths = hashes.value_lengths().to_numpy(zero_copy_only=False)
         cell = np.repeat(np.arange(len(hashes)), lengths) * dim + values % dim

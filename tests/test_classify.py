@@ -82,3 +82,15 @@ def test_split_and_weights_keep_rows_without_label(spark):
     assert stratified_split(df).count() == 100
     weighted = with_class_weights(df)
     assert weighted.count() == 100 and weighted.where("Category = 'nan'").count() == 10
+
+
+def test_forest_tasks_are_few_and_small_and_keep_their_nodes(spark):
+    from skillweave.operators.joins import for_iterations
+
+    df = spark.range(60)
+    parts = lambda n: for_iterations(df, n, classify.FOREST_ROWS).rdd.getNumPartitions()
+    assert [parts(n) for n in (0, 5_000, 36_000, 150_000, 200_000)] == [1, 1, 8, 8, 10]
+    assert for_iterations(df, 36_000).rdd.getNumPartitions() == 2
+    train = spark.range(300).select((F.col("id") % 3).cast("string").alias("Category"), F.lit(1.0).alias("weight"), classify.array_to_vector(F.array(F.rand(1), F.rand(2) + F.col("id") % 3)).alias("vector"))
+    fitted = classify.fit_random_forest(train, "vector", trees=5, max_depth=6)
+    assert fitted.model.getCacheNodeIds() and fitted.model.getNumTrees == 5

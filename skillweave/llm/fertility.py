@@ -7,13 +7,16 @@ and length have under either of two vocabularies.
 
 from __future__ import annotations
 
-import re
+from array import array
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from skillweave.llm.packing import WordIds
 from skillweave.session import written
 
 SYMBOLS = "#*$%&|<>"
@@ -35,10 +38,10 @@ LEAST_SPREAD = 0.01
 LEAST_TEXTS = 30  # different texts that a length class needs for a band of its own
 FITTED = ("chars_per_piece", "piece_entropy", "second_per_piece", "second_entropy")
 _SCRIPTS = {
-    "latin": re.compile("[A-Za-zÀ-ɏ]"),
-    "cyrillic": re.compile("[Ѐ-ԯ]"),
-    "greek": re.compile("[Ͱ-Ͽ]"),
-    "cjk": re.compile("[぀-ヿ㐀-鿿가-힯]"),
+    "latin": ("AZ", "az", "Àɏ"),
+    "cyrillic": ("Ѐԯ",),
+    "greek": ("ͰϿ",),
+    "cjk": ("぀ヿ", "㐀鿿", "가힯"),
 }
 SCHEMA = (
     "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, "
@@ -46,55 +49,97 @@ SCHEMA = (
 )
 
 
-class Pieces(dict):
-    """Word to its number; pieces of all numbered words in flat arrays. Starts anew when ``bound`` words are held."""
+class Vocabulary:
+    """Pieces of numbered words in flat arrays."""
 
-    def __init__(self, path: str, bound: int = 400_000):
-        super().__init__()
+    def __init__(self, path: str):
         if path.endswith(".json"):
-            from tokenizers import Tokenizer
-
-            model = Tokenizer.from_file(path)
-            self.encode = lambda words: [e.ids for e in model.encode_batch_fast([f" {w}" for w in words], add_special_tokens=False)]
-            self.bytes = np.zeros(model.get_vocab_size(), bool)
+            parts = WordIds(path, bound=200_000)
+            self.encode = parts.encode
+            self.bytes = np.zeros(parts.tokenizer.get_vocab_size(), bool)
         else:
             import sentencepiece
 
             model = sentencepiece.SentencePieceProcessor(model_file=path)
-            self.encode = lambda words: model.encode(words, num_threads=1)
+            self.encode = lambda words: [array("i", found).tobytes() for found in model.encode(words, num_threads=1)]
             self.bytes = np.array([model.is_byte(i) for i in range(model.get_piece_size())])
-        self.bound = bound
         self.forget()
 
     def forget(self) -> None:
-        self.clear()
         self.ids = np.zeros(0, np.int32)
         self.start = np.zeros(1, np.int64)
+
+    def learn(self, words: list[str]) -> None:
+        found = self.encode(words) if words else []
+        self.start = np.r_[self.start, self.start[-1] + np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) // 4)]
+        self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(found), np.int32)])
+
+    def of(self, numbers: np.ndarray) -> np.ndarray:
+        """Pieces of words in a row."""
+        counts = self.start[numbers + 1] - self.start[numbers]
+        at = np.arange(int(counts.sum())) + np.repeat(self.start[numbers] - (np.cumsum(counts) - counts), counts)
+        return self.ids[at]
+
+
+class Pieces(dict):
+    """Word to its number, the same in all vocabularies. Starts anew when ``bound`` words are held; a text's windows allow up to 2,097,152."""
+
+    def __init__(self, *paths: str, bound: int = 600_000):
+        super().__init__()
+        self.vocabularies = [Vocabulary(path) for path in paths]
+        self.bound = bound
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
         self.chars: np.ndarray = np.zeros(0, np.int64)
+        for vocabulary in self.vocabularies:
+            vocabulary.forget()
 
-    def learn(self, words: set[bytes]) -> None:
+    def learn(self, words: list[str]) -> None:
         new = [w for w in words if w not in self]
         if self and len(self) + len(new) > self.bound:
             self.forget()
-            new = list(words)
-        text = [w.decode() for w in new]
-        found = self.encode(text) if text else []
+            new = words
         self.update(zip(new, range(len(self), len(self) + len(new))))
-        self.ids = np.concatenate([self.ids, *(np.array(f, np.int32) for f in found)])
-        self.start = np.r_[self.start, self.start[-1] + np.cumsum([len(f) for f in found], dtype=np.int64)]
-        self.chars = np.r_[self.chars, np.array([len(t) for t in text], np.int64)]
-
-    def of(self, numbers: np.ndarray) -> np.ndarray:
-        """Pieces of words in a row."""
-        counts = self.start[numbers + 1] - self.start[numbers]
-        at = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
-        return self.ids[np.repeat(self.start[numbers], counts) + at]
+        self.chars = np.r_[self.chars, np.fromiter(map(len, new), np.int64, len(new))]
+        for vocabulary in self.vocabularies:
+            vocabulary.learn(new)
+
+    def numbered(self, texts: pa.Array) -> list[np.ndarray]:
+        """The words of every text by number; words that are new are learnt together, and a word of many texts is looked up once."""
+        split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        words = split.flatten()
+        real = pc.greater(pc.binary_length(words), 0)
+        ends = np.r_[0, np.cumsum(real.to_numpy(zero_copy_only=False))][np.cumsum(split.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64)]
+        coded = words.filter(real).dictionary_encode()
+        different = coded.dictionary.to_pylist()
+        self.learn(different)
+        numbers = np.fromiter(map(self.__getitem__, different), np.int64, len(different))[coded.indices.to_numpy(zero_copy_only=False)]
+        return [numbers[a:b] for a, b in zip([0, *ends], ends)]
+
+
+@lru_cache(maxsize=1)
+def _worker_pieces(*paths: str) -> Pieces:
+    """Words that a worker has learnt serve its next tasks too."""
+    return Pieces(*paths)
+
+
+@lru_cache(maxsize=1)
+def _letters() -> np.ndarray:
+    """By code point: the place of its script in the table or 4, plus 8 for a letter."""
+    kinds = np.full(0x110000, len(_SCRIPTS), np.uint8)
+    for place, ranges in enumerate(_SCRIPTS.values()):
+        for first, last in ranges:
+            kinds[ord(first) : ord(last) + 1] = place
+    return kinds + 8 * np.fromiter(map(str.isalpha, map(chr, range(0x110000))), np.uint8, 0x110000)
 
 
 def script_of(text: str) -> str:
     """The script of most letters; ties go to the first in the table, a text without letters is other."""
-    counts = {name: len(rx.findall(text)) for name, rx in _SCRIPTS.items()}
-    other = sum(map(str.isalpha, text)) - sum(counts.values())
+    kinds = np.bincount(_letters()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")], minlength=16)
+    counts = dict(zip(_SCRIPTS, (kinds[:8] + kinds[8:]).tolist()))
+    other = int(kinds[8:].sum()) - sum(counts.values())
     best = max(counts, key=counts.get)
     return best if counts[best] and counts[best] >= other else "other"
 
@@ -125,31 +170,30 @@ def repeated_lines(text: str) -> int:
 def entropy(ids: np.ndarray) -> float:
     if not len(ids):
         return 0.0
-    p = np.unique(ids, return_counts=True)[1] / len(ids)
+    ordered = np.sort(ids)
+    p = np.diff(np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1], True])) / len(ids)
     return float(-(p * np.log2(p)).sum()) + 0.0
 
 
 def measure_all(texts: list[str | None], pieces: Pieces, bands: dict[str, tuple[float, float, float, float]] = BANDS) -> list[tuple]:
     """The columns of ``SCHEMA`` behind the id, for some texts whose new words are learnt together."""
-    words = [(t or "").encode().split() for t in texts]
-    pieces.learn(set().union(*words))
-    return [measure(t or "", w, pieces, bands) for t, w in zip(texts, words, strict=True)]
+    return [measure(t or "", numbers, pieces, bands) for t, numbers in zip(texts, pieces.numbered(pa.array(texts, pa.string())), strict=True)]
 
 
-def measure(text: str, words: list[bytes], pieces: Pieces, bands: dict[str, tuple[float, float, float, float]]) -> tuple:
-    numbers = np.fromiter(map(pieces.__getitem__, words), np.int64, len(words))
+def measure(text: str, numbers: np.ndarray, pieces: Pieces, bands: dict[str, tuple[float, float, float, float]]) -> tuple:
     repeats = repeated_words(numbers)
-    failed = len(words) < MIN_WORDS or 100 * repeats > REPEATED_PERCENT * len(words)
-    ids = pieces.of(numbers)
+    failed = len(numbers) < MIN_WORDS or 100 * repeats > REPEATED_PERCENT * len(numbers)
+    vocabulary = pieces.vocabularies[0]
+    ids = vocabulary.of(numbers)
     chars = int(pieces.chars[numbers].sum())
     per_piece = chars / len(ids) if len(ids) else 0.0
-    share = float(pieces.bytes[ids].mean()) if len(ids) else 0.0
+    share = float(vocabulary.bytes[ids].mean()) if len(ids) else 0.0
     bits = entropy(ids)
     script = _script(text)
     least, most, byte_share, least_bits = bands.get(script, bands["other"])
     inside = least <= per_piece <= most and share <= byte_share and bits >= least_bits
     symbols = sum(map(text.count, SYMBOLS))
-    return len(words), chars, symbols, repeated_lines(text), repeats, failed, not failed and inside, script, len(ids), per_piece, share, bits
+    return len(numbers), chars, symbols, repeated_lines(text), repeats, failed, not failed and inside, script, len(ids), per_piece, share, bits
 
 
 def fertility(docs: DataFrame, model_path: str, bands: dict[str, tuple[float, float, float, float]] = BANDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -160,7 +204,7 @@ def fertility(docs: DataFrame, model_path: str, bands: dict[str, tuple[float, fl
     """
 
     def run(batches):
-        pieces = Pieces(model_path)
+        pieces = _worker_pieces(model_path)
         parts = (batch.slice(at, 500) for batch in batches for at in range(0, batch.num_rows, 500))
         for part in parts:
             rows = measure_all(part.column(1).to_pylist(), pieces, bands)
@@ -180,20 +224,14 @@ def _measured(docs: DataFrame, model_path: str, second_path: str, id_col: str, t
     """The columns of ``SCHEMA`` under the bands per script, the language, the class of length, and the measures under the second vocabulary."""
 
     def run(batches):
-        pieces, second = Pieces(model_path), Pieces(second_path)
+        pieces = _worker_pieces(model_path, second_path)
         parts = (batch.slice(at, 500) for batch in batches for at in range(0, batch.num_rows, 500))
         for part in parts:
-            texts = part.column(1).to_pylist()
-            words = [(t or "").encode().split() for t in texts]
-            new = set().union(*words)
-            pieces.learn(new)
-            second.learn(new)
             rows = []
-            for t, w in zip(texts, words, strict=True):
-                numbers = np.fromiter(map(second.__getitem__, w), np.int64, len(w))
-                ids = second.of(numbers)
-                more = (length_class(len(w)), int(second.chars[numbers].sum()) / len(ids) if len(ids) else 0.0, entropy(ids))
-                rows.append(measure(t or "", w, pieces, BANDS) + more)
+            for t, numbers in zip(part.column(1).to_pylist(), pieces.numbered(part.column(1)), strict=True):
+                ids = pieces.vocabularies[1].of(numbers)
+                more = (length_class(len(numbers)), int(pieces.chars[numbers].sum()) / len(ids) if len(ids) else 0.0, entropy(ids))
+                rows.append(measure(t or "", numbers, pieces, BANDS) + more)
             columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
             yield pa.RecordBatch.from_arrays([part.column(0), *columns, part.column(2)], names=names)
 

@@ -61,15 +61,27 @@ class WordIds(dict):
         return found
 
     def learn(self, given: list[bytes]) -> None:
-        other = []
-        for word in given:
-            low = word.decode().lower()
+        found = self._encoded([*map(bytes.decode, given)])
+        self.update(zip(given, found, strict=True))
+
+    def encode(self, words: list[str]) -> list[bytes]:
+        """The ids of words that a caller keeps; only their parts stay here."""
+        if len(self) > self.bound:
+            self.clear()
+        return self._encoded(words)
+
+    def _encoded(self, words: list[str]) -> list[bytes]:
+        found, other = [], []
+        for place, word in enumerate(words):
+            low = word.lower()
             if _PLAIN.fullmatch(low):
-                self[word] = b"".join(map(self.part, _PARTS.findall(low)))
+                found.append(b"".join(map(self.part, _PARTS.findall(low))))
             else:
-                other.append(word)
-        for word, found in zip(other, self.tokenizer.encode_batch_fast([*map(bytes.decode, other)], add_special_tokens=False), strict=True):
-            self[word] = np.array(found.ids, "<u4").tobytes()
+                found.append(b"")
+                other.append(place)
+        for place, whole in zip(other, self.tokenizer.encode_batch_fast([words[i] for i in other], add_special_tokens=False), strict=True):
+            found[place] = np.array(whole.ids, "<u4").tobytes()
+        return found
 
     def of(self, text: str) -> np.ndarray:
         words = text.encode().split()

@@ -161,3 +161,24 @@ def test_held_out_labels(spark):
     n = {(r.toxic, r.predicted): r["count"] for r in met}
     assert n.get((0, 1), 0) <= 0.005 * n[0, 0]
     assert n[1, 1] >= 0.8 * (n[1, 1] + n.get((1, 0), 0))
+
+
+def test_words_are_numbered_once_for_two_vocabularies():
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    second = public_tokenizers.path("word_bpe_49k.json")
+    texts = ["\t Über 'tis  x²,ﬁ\x0bab\x85c d ", None, "", " \n", "İI <|endoftext|> áb 12,3 It's İI", "日本 x² ÷"]
+    words = [(t or "").encode().split() for t in texts]
+    model = Tokenizer.from_file(second)
+    whole = [[i for w in found for i in model.encode(f" {w.decode()}", add_special_tokens=False).ids] for found in words]
+    for bound in (3, 100):
+        pieces = fertility.Pieces(PATH, second, bound=bound)
+        numbers = [pieces.numbered(pa.array([t], pa.string()))[0] for t in texts] if bound > 50 else pieces.numbered(pa.array(texts, pa.string()))
+        assert [[len(n), *pieces.vocabularies[1].of(n)] for n in numbers] == [[len(w), *ids] for w, ids in zip(words, whole)]
+
+
+def test_scripts_count_their_letters():
+    texts = {"": "other", "12 ÷": "other", "abc": "latin", "été": "latin", "жук a": "cyrillic", "αβγ": "greek", "日本語 ab": "cjk", "한글": "cjk", "שלום": "other", "ab שלום": "other", "аб ab": "latin", "😀": "other"}
+    texts["12 ÷"] = "latin"  # the sign lies in the range of Latin letters
+    assert {t: fertility.script_of(t) for t in texts} == texts

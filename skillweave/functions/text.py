@@ -98,8 +98,12 @@ def truncate_text(col: Column, n: int = PROMPT_CHARS) -> Column:
 
 def word_terms(col: Column, low: int = 1, high: int = 1) -> Column:
     """Word n-grams of every size from ``low`` to ``high``; words are runs of 2+ word characters."""
-    words = F.regexp_extract_all(F.lower(col), F.lit(r"[\p{L}\p{N}_]{2,}"), F.lit(0))
-    return gram_terms(words, low, high)
+    return gram_terms(plain_words(col), low, high)
+
+
+def plain_words(col: Column) -> Column:
+    """The lower-case runs of 2+ word characters. What separates runs is split away, which is cheaper than extracting every run."""
+    return F.filter(F.split(F.lower(col), r"[^\p{L}\p{N}_]+"), lambda w: F.length(w) >= 2)
 
 
 def gram_terms(words: Column, low: int = 1, high: int = 1) -> Column:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from skillweave.functions.arrays import term_counts
-from skillweave.functions.text import text_or_empty, word_terms
+from skillweave.functions.text import plain_words, text_or_empty, word_terms
 from skillweave.operators.joins import lookup_join
 from skillweave.session import cut_lineage
 
@@ -27,6 +27,8 @@ MAX_FEATURES = 30_000
 NGRAMS = (1, 2)
 
 MAX_INLINE_TERMS = 100_000
+#: Texts are counted together while they have so many words; a longer text is counted alone.
+WORDS_AT_ONCE = 1_000_000
 
 _DRAW_PREFIX = 4
 
@@ -137,39 +139,133 @@ def build_vocabulary(
     key: str = "ID",
     text: str = "clean_text",
 ) -> DataFrame:
-    """(term, df, tf) of the ``max_features`` most frequent terms found in ``min_df`` texts; ties by term."""
+    """(term, df, tf) of the ``max_features`` most frequent terms found in ``min_df`` texts; ties by term.
+
+    Some texts at a time are counted by the numbers of their words, so only the different terms of such a slice become rows.
+    """
+    words = df.select(plain_words(text_or_empty(F.col(text))).alias("words"))
     return (
-        term_frequencies(df, low, high, key, text)
+        words.mapInArrow(_slice_counts(low, high), "term string, df bigint, tf bigint")
         .groupBy("term")
-        .agg(F.count("*").alias("df"), F.sum("tf").alias("tf"))
+        .agg(F.sum("df").alias("df"), F.sum("tf").alias("tf"))
         .where(F.col("df") >= min_df)
         .orderBy(F.desc("tf"), "term")
         .limit(max_features)
     )
 
 
+def _slices(lists: pa.Array, most: int) -> Iterator[pa.Array]:
+    """Lists of words, as many at a time as have ``most`` words, one at least."""
+    ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64)
+    start = 0
+    while start < len(lists):
+        done = int(ends[start - 1]) if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, done + most, "right")))
+        yield lists.slice(start, stop - start)
+        start = stop
+
+
+def _row_of_each(lists: pa.Array) -> np.ndarray:
+    return np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
+
+
+def _slice_counts(low: int, high: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Batches of word lists to (term, df, tf), each term once per slice."""
+    most = WORDS_AT_ONCE
+
+    def count(lists: pa.Array) -> Iterator[pa.RecordBatch]:
+        coded, row = lists.flatten().dictionary_encode(), _row_of_each(lists)
+        code, names = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
+        gram = code
+        for size in range(1, high + 1):
+            if size > 1:  # a gram is the one that is a word shorter, with the next word
+                shorter = gram if size == 2 else np.unique(gram, return_inverse=True)[1]
+                gram = shorter[:-1] * len(names) + code[size - 1 :]
+            if size < low:
+                continue
+            at = np.flatnonzero(row[: len(gram)] == row[size - 1 :])
+            _, first, number, tf = np.unique(gram[at], return_index=True, return_inverse=True, return_counts=True)
+            pairs = np.unique(number * len(lists) + row[at])
+            df = np.bincount(pairs // len(lists), minlength=len(tf))
+            parts = [names.take(pa.array(code[at[first] + i])) for i in range(size)]
+            terms = parts[0] if size == 1 else pc.binary_join_element_wise(*parts, " ")
+            yield pa.RecordBatch.from_arrays([terms, pa.array(df, pa.int64()), pa.array(tf, pa.int64())], names=["term", "df", "tf"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lists in _slices(batch.column(0), most):
+                yield from count(lists)
+
+    return run
+
+
 def with_idf(vocabulary: DataFrame, n_documents: int) -> DataFrame:
     return vocabulary.withColumn("idf", F.log((1 + F.lit(float(n_documents))) / (1 + F.col("df"))) + 1)
 
 
-def _weigh_in_row(df: DataFrame, table: pa.Table) -> Callable[[Column], Column]:
-    """array<(term, tf)> to array<(term, weight)> over the terms of ``table``."""
-    shared = df.sparkSession.sparkContext.broadcast((table.column("term").to_pylist(), table.column("idf").to_pylist()))
+class _Grams:
+    """A vocabulary by word numbers: a gram is found from the one that is a word shorter, without building its text."""
+
+    def __init__(self, table: pa.Table, low: int, high: int):
+        table = table.select(["term", "idf"]).combine_chunks().sort_by("term")  # weights are added up in the order of the terms
+        names = table.column("term").to_pylist()
+        split = [t.split(" ") for t in names]
+        listed = sorted({w for words in split for w in words})
+        number = {w: i for i, w in enumerate(listed)}
+        self.terms, self.idf, self.words = names, table.column("idf").to_numpy(), listed
+        self.levels = []
+        known: dict[tuple[str, ...], int] = {(): 0}
+        for size in range(1, high + 1):
+            found: dict[int, tuple[tuple[str, ...], int]] = {}
+            for i, words in enumerate(split):
+                if len(words) >= size:
+                    key = known[tuple(words[: size - 1])] * len(listed) + number[words[size - 1]]
+                    whole = i if len(words) == size >= low else -1
+                    if key not in found or found[key][1] < 0 <= whole:
+                        found[key] = (tuple(words[:size]), whole)
+            keys = sorted(found)
+            known = {found[k][0]: at for at, k in enumerate(keys)}
+            self.levels.append((np.array(keys, np.int64), np.array([found[k][1] for k in keys], np.int64)))
+
+    def counts(self, lists: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, term, tf) in this order, for the terms that the lists have."""
+        coded, row = lists.flatten().dictionary_encode(), _row_of_each(lists)
+        of = pc.fill_null(pc.index_in(coded.dictionary, value_set=pa.array(self.words, coded.dictionary.type)), -1).to_numpy(zero_copy_only=False)
+        word = of[coded.indices.to_numpy(zero_copy_only=False)].astype(np.int64)
+        at, gram, hits = np.arange(len(word)), np.zeros(len(word), np.int64), []
+        for size, (keys, whole) in enumerate(self.levels, 1):
+            end = at + size - 1
+            inside = np.flatnonzero(end < len(word)) if size > 1 else np.arange(len(at))
+            inside = inside[(row[at[inside]] == row[end[inside]]) & (word[end[inside]] >= 0)]
+            at, key = at[inside], gram[inside] * len(self.words) + word[end[inside]]
+            place = np.searchsorted(keys, key)
+            same = np.flatnonzero(keys[np.minimum(place, len(keys) - 1)] == key) if len(keys) else np.zeros(0, np.int64)
+            at, gram = at[same], place[same]
+            term = whole[gram]
+            hits.append(row[at[term >= 0]] * len(self.terms) + term[term >= 0])
+        pairs, tf = np.unique(np.concatenate(hits), return_counts=True)
+        return *np.divmod(pairs, max(1, len(self.terms))), tf
+
+
+def _weigh_in_row(df: DataFrame, table: pa.Table, low: int, high: int) -> Callable[[Column], Column]:
+    """The words of a text to array<(term, weight)> over the terms of ``table``."""
+    shared = df.sparkSession.sparkContext.broadcast(_Grams(table, low, high))
+    most = WORDS_AT_ONCE
+
+    def some(lists: pa.Array, grams: _Grams, terms: pa.Array) -> pa.Array:
+        row, term, tf = grams.counts(lists)
+        raw = tf * grams.idf[term]
+        length = np.sqrt(np.bincount(row, weights=raw * raw, minlength=len(lists)))
+        offsets = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(lists)))]).astype(np.int32)
+        weighted = pa.StructArray.from_arrays([terms.take(pa.array(term)), pa.array(raw / length[row])], names=["term", "weight"])
+        return pa.ListArray.from_arrays(pa.array(offsets), weighted)
 
     @F.arrow_udf("array<struct<term:string,weight:double>>")
-    def weigh(counts: pa.Array) -> pa.Array:
-        known, idf = shared.value
-        entries = counts.flatten()
-        terms = entries.field("term")
-        at = pc.index_in(terms, value_set=pa.array(known, terms.type))
-        keep = pc.is_valid(at)
-        mask = keep.to_numpy(zero_copy_only=False)
-        row = np.repeat(np.arange(len(counts)), counts.value_lengths().to_numpy(zero_copy_only=False))[mask]
-        raw = entries.field("tf").filter(keep).to_numpy() * np.asarray(idf)[at.drop_null().to_numpy()]
-        length = np.sqrt(np.bincount(row, weights=raw * raw, minlength=len(counts)))
-        offsets = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(counts)))]).astype(np.int32)
-        weighted = pa.StructArray.from_arrays([terms.filter(keep), pa.array(raw / length[row])], names=["term", "weight"])
-        return pa.ListArray.from_arrays(pa.array(offsets), weighted)
+    def weigh(words: pa.Array) -> pa.Array:
+        grams = shared.value
+        terms = pa.array(grams.terms, pa.string())
+        parts = [some(lists, grams, terms) for lists in _slices(words, most)]
+        return pa.concat_arrays(parts) if parts else some(words, grams, terms)
 
     return weigh
 
@@ -192,8 +288,8 @@ def tfidf(
     weights = with_idf(vocabulary, n_documents).select("term", "idf")
     head = weights.limit(max_inline_terms + 1).toArrow()
     if head.num_rows <= max_inline_terms:
-        counted = ngrams(df, low, high, key, text).select(key, term_counts(F.col("terms")).alias("_counts"))
-        return counted.select(key, F.inline(_weigh_in_row(df, head)(F.col("_counts"))))
+        words = df.select(key, plain_words(text_or_empty(F.col(text))).alias("_words"))
+        return words.select(key, F.inline(_weigh_in_row(df, head, low, high)(F.col("_words"))))
     weighted = lookup_join(term_frequencies(df, low, high, key, text), weights, "term", max_broadcast_rows=0).select(
         key, "term", (F.col("tf") * F.col("idf")).alias("raw")
     )

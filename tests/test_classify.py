@@ -94,3 +94,26 @@ def test_forest_tasks_are_few_and_small_and_keep_their_nodes(spark):
     train = spark.range(300).select((F.col("id") % 3).cast("string").alias("Category"), F.lit(1.0).alias("weight"), classify.array_to_vector(F.array(F.rand(1), F.rand(2) + F.col("id") % 3)).alias("vector"))
     fitted = classify.fit_random_forest(train, "vector", trees=5, max_depth=6)
     assert fitted.model.getCacheNodeIds() and fitted.model.getNumTrees == 5
+
+
+def test_slices_of_texts_count_the_same_terms(spark, monkeypatch):
+    """Terms of one to three words, counted a few words at a time and all at once, as plain counting has them."""
+    monkeypatch.setattr(features, "WORDS_AT_ONCE", 5)
+    draw = random.Random(1)
+    texts = ["", "a", None, *(" ".join(draw.choices(["aa", "bb", "cc", "É日", "x_1"], k=draw.randrange(12))) for _ in range(60))]
+    df = spark.createDataFrame(list(enumerate(texts)), "ID int, clean_text string").repartition(2)
+    terms = []
+    for text in texts:
+        words = [w for w in (text or "").lower().split() if len(w) > 1]
+        terms.append([" ".join(words[i : i + n]) for n in (1, 2, 3) for i in range(len(words) - n + 1)])
+    every = {t for row in terms for t in row}
+    plain = {t: (sum(t in row for row in terms), sum(row.count(t) for row in terms)) for t in every}
+    lists = spark.createDataFrame([([w for w in (t or "").lower().split() if len(w) > 1],) for t in texts], "words array<string>")
+    sliced = lists.coalesce(1).mapInArrow(features._slice_counts(1, 3), "term string, df bigint, tf bigint")
+    assert sliced.groupBy("term").count().where("count > 1").count() > 0  # more slices than one
+    vocabulary = features.build_vocabulary(df, min_df=1, high=3)
+    assert {r["term"]: (r["df"], r["tf"]) for r in vocabulary.collect()} == plain
+    inline = {(r["ID"], r["term"]): r["weight"] for r in features.tfidf(df, vocabulary, len(texts), high=3).collect()}
+    joined = {(r["ID"], r["term"]): r["weight"] for r in features.tfidf(df, vocabulary, len(texts), high=3, max_inline_terms=0).collect()}
+    assert inline.keys() == joined.keys() and inline == pytest.approx(joined)
+    assert features.tfidf(df, vocabulary.where("term = '-'"), len(texts)).count() == 0

@@ -80,8 +80,9 @@ def drop_stopwords(tokens: Column, stops: Iterable[str] = ENGLISH_STOPWORDS, min
 
 def clean_tokens(col: Column, stops: Iterable[str] = ENGLISH_STOPWORDS) -> Column:
     """Tag-free, letters-only tokens without stop words; an empty array for null or blank text."""
-    letters = letters_only(F.regexp_replace(text_or_empty(col), TAG, " "))
-    return drop_stopwords(F.filter(F.split(letters, " "), lambda t: t != ""), stops)
+    text = text_or_empty(col)
+    untagged = F.when(F.contains(text, F.lit("<")), F.regexp_replace(text, TAG, " ")).otherwise(text)
+    return drop_stopwords(F.filter(F.split(F.lower(untagged), "[^a-z]+"), lambda t: t != ""), stops)
 
 
 def alnum_normalise(col: Column) -> Column:

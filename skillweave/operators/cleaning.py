@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -15,7 +16,9 @@ from skillweave.operators.joins import lookup_join
 from skillweave.session import written
 
 MAX_INLINE_LEMMAS = 200_000
-ROWS_AT_ONCE = 512
+#: Rows and words that are replaced together; a longer list is replaced alone.
+ROWS_AT_ONCE = 2_048
+WORDS_AT_ONCE = 500_000
 
 # Noun endings and what replaces them.
 NOUN_SUFFIXES: tuple[tuple[str, str], ...] = (
@@ -83,17 +86,27 @@ def lemmatise(
 
 
 def _replaced(column: pa.Array, surfaces: pa.Array, forms: pa.Array) -> pa.Array:
-    """Lists of words with every word of ``surfaces`` replaced, some rows at a time: what is made on the way stays small."""
+    """Lists of words with every word of ``surfaces`` replaced, some words at a time: what is made on the way stays small.
+
+    Equal words of a part are looked up and replaced once, so a part adds its word numbers and the text of its result.
+    """
 
     def some(part: pa.Array) -> pa.Array:
-        words = part.flatten()
-        changed = pc.coalesce(pc.take(forms, pc.index_in(words, value_set=surfaces)), words)
+        coded = part.flatten().dictionary_encode()
+        words = coded.dictionary
+        changed = pc.coalesce(pc.take(forms, pc.index_in(words, value_set=surfaces)), words).take(coded.indices)
         lengths = pc.fill_null(pc.list_value_length(part), 0)
         offsets = pa.concat_arrays([pa.array([0], pa.int32()), pc.cumulative_sum(lengths).cast(pa.int32())])
         return pa.ListArray.from_arrays(offsets, changed, mask=pc.is_null(part))
 
-    parts = [some(column.slice(start, ROWS_AT_ONCE)) for start in range(0, len(column), ROWS_AT_ONCE)]
-    return pa.concat_arrays(parts) if parts else column
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    parts, start = [], 0
+    while start < len(column):
+        done = int(ends[start - 1]) if start else 0
+        stop = max(start + 1, min(start + ROWS_AT_ONCE, int(np.searchsorted(ends, done + WORDS_AT_ONCE, "right"))))
+        parts.append(some(column.slice(start, stop - start)))
+        start = stop
+    return pa.concat_arrays(parts) if len(parts) > 1 else parts[0] if parts else column
 
 
 def _lemmatise_inline(df: DataFrame, tokens: str, table: pa.Table) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Callable, Iterator
 
@@ -30,8 +31,25 @@ def portable_hash(term: Column) -> Column:
     return F.conv(F.substring(F.md5(term), 1, 8), 16, 10).cast("bigint")
 
 
+@F.arrow_udf(T.ArrayType(T.LongType()))
+def _portable_hashes(terms: pa.Array) -> pa.Array:
+    """``portable_hash`` of every term, worked out once for equal terms of some rows."""
+
+    def some(part: pa.Array) -> pa.Array:
+        coded = part.flatten().dictionary_encode()
+        digests = b"".join([hashlib.md5(t.encode(), usedforsecurity=False).digest()[:4] for t in coded.dictionary.to_pylist()])
+        hashes = np.frombuffer(digests, ">u4").astype(np.int64)[coded.indices.to_numpy(zero_copy_only=False)]
+        offsets = np.concatenate([[0], np.cumsum(part.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(hashes))
+
+    parts = [some(terms.slice(start, ROWS_AT_ONCE)) for start in range(0, len(terms), ROWS_AT_ONCE)]
+    return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int64()))
+
+
 def hashed_terms(text: Column, grams: int = 1, term_hash: Callable[[Column], Column] = fast_hash) -> Column:
     words = F.filter(F.split(text_or_empty(text), " "), lambda w: w != "")
+    if term_hash is portable_hash and grams == 1:  # Spark leaves a Python function over nested lambdas in place and cannot evaluate it
+        return _portable_hashes(words)
     return F.transform(gram_terms(words, 1, grams), term_hash)
 
 
@@ -46,9 +64,21 @@ def inverse_frequencies(
 
     At most ``dim`` + 1 counts come to the driver.
     """
-    buckets = F.transform(hashed_terms(F.col(text), grams, term_hash), lambda h: F.pmod(h, F.lit(dim)))
-    seen = F.concat(F.array_distinct(buckets), F.array(F.lit(-1).cast("bigint")))
-    counts = {row[0]: row[1] for row in df.select(F.explode(seen).alias("bucket")).groupBy("bucket").count().collect()}
+
+    @F.arrow_udf(T.ArrayType(T.LongType()))
+    def buckets(hashes: pa.Array) -> pa.Array:
+        row = np.repeat(np.arange(len(hashes)), hashes.value_lengths().to_numpy(zero_copy_only=False))
+        row, found = np.divmod(np.unique(row * dim + hashes.flatten().to_numpy(zero_copy_only=False) % dim), dim)
+        offsets = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(hashes)))]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(found))
+
+    hashed = df.select(hashed_terms(F.col(text), grams, term_hash).alias("_hashes"))
+    if grams > 1:
+        found = F.array_distinct(F.transform("_hashes", lambda h: F.pmod(h, F.lit(dim))))
+    else:
+        found = buckets(F.col("_hashes"))
+    seen = F.concat(found, F.array(F.lit(-1).cast("bigint")))
+    counts = {row[0]: row[1] for row in hashed.select(F.explode(seen).alias("bucket")).groupBy("bucket").count().collect()}
     n = counts.get(-1, 0)
     return [math.log((1 + n) / (1 + counts.get(b, 0))) + 1.0 for b in range(dim)]
 

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import random
 
+import pyarrow as pa
 from conftest import rows
 from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
-from skillweave.operators import categories, cleaning, clustering, features
+from skillweave.functions.text import TAG, clean_tokens, drop_stopwords, letters_only
+from skillweave.operators import categories, cleaning, clustering, embedding, features
 from skillweave.operators.categories import infer_categories
 from skillweave.plans.catalog.model_queries import ngram_counts
 
@@ -75,3 +77,38 @@ def test_fits_keep_their_own_vectors(spark, monkeypatch):
     clustering.kmeans_sweep(points, 2, 2, n_init=1)
     # A table that is kept already makes MLlib build its vectors again at every step.
     assert seen == [StorageLevel.NONE] * 3
+
+
+def test_equal_terms_are_hashed_once(spark, monkeypatch):
+    """As the md5 of every term by itself has it, over several slices of rows, and without an md5 per word in the plan."""
+    texts = ["b a b", "", None, "naïve b  x", *["a c"] * 40]
+    df = spark.createDataFrame(list(enumerate(texts)), "ID int, clean_text string").coalesce(1)
+    for grams in (1, 2):
+        hashed = df.select("ID", embedding.hashed_terms(F.col("clean_text"), grams, embedding.portable_hash).alias("h"))
+        assert grams == 2 or "md5" not in hashed._jdf.queryExecution().toString()
+        plain = df.select("ID", embedding.hashed_terms(F.col("clean_text"), grams, lambda t: embedding.portable_hash(t)).alias("h"))
+        assert sorted(map(tuple, hashed.collect())) == sorted(map(tuple, plain.collect()))
+        weights = [embedding.inverse_frequencies(df, dim=7, grams=grams, term_hash=h) for h in (embedding.portable_hash, lambda t: embedding.portable_hash(t))]
+        assert weights[0] == weights[1]
+
+
+def test_words_are_split_without_a_second_pass(spark):
+    """Tokens as the letters-only text has them, with and without tags, and no pattern pass over a text without a tag's start."""
+    texts = [(i, t) for i, t in enumerate(["", None, "<b>Red</b> fish<br/>s", "a < b, C3PO's", "É tags<unclosed", "x" * 3 + "\nthe  DOGS-9dogs "])]
+    df = spark.createDataFrame(texts, "ID int, t string")
+    letters = letters_only(F.regexp_replace(F.coalesce("t", F.lit("")), TAG, " "))
+    plain = drop_stopwords(F.filter(F.split(letters, " "), lambda w: w != ""))
+    got = df.select("ID", clean_tokens(F.col("t")).alias("w"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, df.select("ID", plain.alias("w")).collect()))
+    assert got._jdf.queryExecution().analyzed().toString().count("regexp_replace") == 1
+
+
+def test_words_are_replaced_a_part_at_a_time(monkeypatch):
+    monkeypatch.setattr(cleaning, "WORDS_AT_ONCE", 3)
+    lists = pa.array([["dogs", "cat", "dogs"], [], None, ["dogs"] * 5, ["men"], ["x", "dogs"]])
+    looked_up = []
+    real = cleaning.pc.index_in
+    monkeypatch.setattr(cleaning.pc, "index_in", lambda words, value_set: looked_up.append(len(words)) or real(words, value_set=value_set))
+    got = cleaning._replaced(lists.slice(0), pa.array(["dogs", "men"]), pa.array(["dog", "man"]))
+    assert got.to_pylist() == [["dog", "cat", "dog"], [], None, ["dog"] * 5, ["man"], ["x", "dog"]]
+    assert looked_up == [2, 1, 3]  # different words of each part, not all ten

@@ -17,8 +17,9 @@ from skillweave.session import written
 
 MAX_INLINE_LEMMAS = 200_000
 #: Rows and words that are replaced together; a longer list is replaced alone.
-ROWS_AT_ONCE = 2_048
-WORDS_AT_ONCE = 500_000
+ROWS_AT_ONCE = 512
+WORDS_AT_ONCE = 200_000
+CHARS_AT_ONCE = 2_000_000
 
 # Noun endings and what replaces them.
 NOUN_SUFFIXES: tuple[tuple[str, str], ...] = (
@@ -66,9 +67,12 @@ def lemmatise(
     lemmas: DataFrame | None = None,
     key: str = "ID",
     max_inline_lemmas: int = MAX_INLINE_LEMMAS,
+    joined: str | None = None,
 ) -> DataFrame:
     """``df`` with every token replaced by its lemma; without a table one is built from the corpus.
 
+    With ``joined`` the tokens, which then have no null and no space, are replaced by that column: their lemmas as one text.
+
     A table of checked size goes to the tasks and the rows stay in place. A larger one is joined:
     only the distinct tokens it may change are exploded, and ``key`` must then identify a row. Of several lemmas that a given
     table has for a surface the shortest counts, then the first in sort order.
@@ -81,8 +85,9 @@ def lemmatise(
     table = written(table, "lemmas")  # read several times, and building it is a pass over the texts
     head = table.limit(max_inline_lemmas + 1).toArrow()
     if head.num_rows <= max_inline_lemmas:
-        return _lemmatise_inline(df, tokens, head)
-    return _lemmatise_by_join(written(df, "tokens"), tokens, table, key, any_token=lemmas is not None)
+        return _lemmatise_text(df, tokens, head, joined) if joined else _lemmatise_inline(df, tokens, head)
+    changed = _lemmatise_by_join(written(df, "tokens"), tokens, table, key, any_token=lemmas is not None)
+    return changed.withColumn(joined, F.array_join(tokens, " ")).drop(tokens) if joined else changed
 
 
 def _replaced(column: pa.Array, surfaces: pa.Array, forms: pa.Array) -> pa.Array:
@@ -121,6 +126,33 @@ def _lemmatise_inline(df: DataFrame, tokens: str, table: pa.Table) -> DataFrame:
     return df.withColumn(tokens, replace(F.col(tokens)))
 
 
+def _text_replaced(column: pa.Array, surfaces: pa.Array, forms: pa.Array) -> pa.Array:
+    """As ``_replaced`` for texts of words with one space between. The words of some rows at a time are listed, never those of a whole batch."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes, dtype=np.int64)
+    parts, start = [], 0
+    while start < len(column):
+        done = int(ends[start - 1]) if start else 0
+        stop = max(start + 1, min(start + ROWS_AT_ONCE, int(np.searchsorted(ends, done + CHARS_AT_ONCE, "right"))))
+        words = pc.split_pattern(column.slice(start, stop - start), " ")
+        parts.append(pc.binary_join(_replaced(words, surfaces, forms), " "))
+        start = stop
+    return pa.concat_arrays(parts) if len(parts) > 1 else parts[0] if parts else column
+
+
+def _lemmatise_text(df: DataFrame, tokens: str, table: pa.Table, out: str) -> DataFrame:
+    text = F.array_join(tokens, " ")
+    if not table.num_rows:
+        return df.withColumn(out, text).drop(tokens)
+    shared = df.sparkSession.sparkContext.broadcast(tuple(table.column(c).combine_chunks().cast(pa.string()) for c in ("surface", "lemma")))
+
+    @F.arrow_udf(T.StringType())
+    def replace(column: pa.Array) -> pa.Array:
+        return _text_replaced(column, *shared.value)
+
+    return df.withColumn(out, replace(text)).drop(tokens)
+
+
 def _lemmatise_by_join(df: DataFrame, tokens: str, table: DataFrame, key: str, any_token: bool) -> DataFrame:
     distinct = F.array_distinct(tokens)
     words = df.select(key, F.explode(distinct if any_token else F.filter(distinct, _may_be_inflected)).alias("surface"))
@@ -150,8 +182,7 @@ def clean_text(
 ) -> DataFrame:
     """``df`` with ``out``: tags, case, punctuation and stop words gone, nouns as lemmas."""
     tokens = df.withColumn("_clean_tokens", clean_tokens(F.col(text), stops))
-    lemmatised = lemmatise(tokens, "_clean_tokens", lemmas, key)
-    return lemmatised.withColumn(out, F.array_join("_clean_tokens", " ")).drop("_clean_tokens")
+    return lemmatise(tokens, "_clean_tokens", lemmas, key, joined=out)
 
 
 def prompt_rows(df: DataFrame, key: str = "ID", text: str = "clean_text") -> DataFrame:

@@ -112,3 +112,18 @@ def test_words_are_replaced_a_part_at_a_time(monkeypatch):
     got = cleaning._replaced(lists.slice(0), pa.array(["dogs", "men"]), pa.array(["dog", "man"]))
     assert got.to_pylist() == [["dog", "cat", "dog"], [], None, ["dog"] * 5, ["man"], ["x", "dog"]]
     assert looked_up == [2, 1, 3]  # different words of each part, not all ten
+
+
+def test_texts_are_replaced_without_listing_their_words(spark, monkeypatch):
+    monkeypatch.setattr(cleaning, "CHARS_AT_ONCE", 9)
+    texts = pa.array(["dogs cat dogs", "", "dogs", "men", "x dogs men"])
+    listed, real = [], cleaning._replaced
+    monkeypatch.setattr(cleaning, "_replaced", lambda words, *table: listed.append(len(words)) or real(words, *table))
+    got = cleaning._text_replaced(texts, pa.array(["dogs", "men"]), pa.array(["dog", "man"]))
+    assert got.to_pylist() == ["dog cat dog", "", "dog", "man", "x dog man"] and max(listed) < 5
+    assert cleaning._text_replaced(texts.slice(5), pa.array(["dogs"]), pa.array(["dog"])).to_pylist() == []
+    df = spark.createDataFrame([(1, ["cats", "cat", "dogs"]), (2, []), (3, ["x"])], "ID int, tokens array<string>")
+    for inline in (100, 0):
+        found = cleaning.lemmatise(df, max_inline_lemmas=inline, joined="clean")
+        assert rows(found) == [(1, "cat cat dogs"), (2, ""), (3, "x")]
+    assert rows(cleaning.lemmatise(df.where("ID > 1"), joined="clean")) == [(2, ""), (3, "x")]

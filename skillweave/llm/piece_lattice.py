@@ -14,26 +14,31 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skillweave.llm.common import map_batches
-from skillweave.session import written
+from skillweave.session import shared_root, written
 
 SPACE = "▁"
-BLOCK_WORDS = 60_000
-BLOCK_CHARS = 8_000_000
+BLOCK_WORDS = 400_000  # the larger a block, the fewer words are in several
+BLOCK_CHARS = 12_000_000
+SLICE_CHARS = 1_000_000  # texts that are cut together; a longer one is cut alone
 FOLD_CHARS = 64  # words beyond are folded by the same recursion outside of an expression, whose state would be copied at each step
 _NORMAL, _BYTE = (1, 4), 6
 _LETTER = "A-Za-zÀ-ÖØ-öø-ɏͰ-ϿЀ-ӿ"
 _WORD = re.compile(f"{SPACE}*[{_LETTER}]+|{SPACE}*[^{_LETTER}{SPACE}]+|{SPACE}+")
 _COARSE = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _TOKEN = re.compile(" *[^ ]+| +")
+_MARK = "\x01"
 WORDS_PER_TASK = 20_000
 MAX_TASKS = 20_000
 
@@ -120,7 +125,8 @@ def piece_table(spark: SparkSession, model: Model) -> DataFrame:
 
 def encode_words(words: DataFrame, model: Model) -> DataFrame:
     """``word, pieces`` for the distinct, non-empty ``word``s of a table, characters without a piece as in ``Model.best``."""
-    short = words.where(F.char_length("word") <= FOLD_CHARS)
+    chars = F.col("chars") if "chars" in words.columns else F.char_length("word")
+    short = words.where(chars <= FOLD_CHARS)
     ends = F.sequence(F.lit(1), F.least(F.lit(model.longest), F.char_length("word") - F.col("start") + 1))
     spans = short.select("word", F.explode(F.sequence(F.lit(1), F.char_length("word"))).alias("start")).select("word", "start", F.explode(ends).alias("size"))
     spans = spans.withColumn("piece", F.expr("substring(word, start, size)"))
@@ -130,22 +136,21 @@ def encode_words(words: DataFrame, model: Model) -> DataFrame:
         F.coalesce("id", -_code_point("piece") - 1).alias("id"), F.coalesce("score", F.lit(model.unknown).cast("float")).alias("score"),
     )
     lattice = met.groupBy("word").agg(F.collect_list(edge).alias("edges"))
-    way = "array<struct<score:float,back:int,path:array<int>>>"
+    way = "array<struct<score:float,path:array<int>>>"
 
     def step(ways, end):
         arriving = F.filter("edges", lambda x: x["end"] == end)
-        options = F.transform(arriving, lambda x: F.struct(
-            (F.get(ways, x["start"] - 1)["score"] + x["score"]).alias("score"), (-x["start"]).alias("back"), F.concat(F.get(ways, x["start"] - 1)["path"], F.array(x["id"])).alias("path")
-        ))
-        return F.concat(ways, F.array(F.array_max(options))).cast(way)
+        options = F.transform(arriving, lambda x: F.struct((F.get(ways, x["start"] - 1)["score"] + x["score"]).alias("score"), (-x["start"]).alias("back"), x["id"].alias("id")))
+        # The path is put together for the best option only; an array of one hands it on.
+        return F.concat(ways, F.transform(F.array(F.array_max(options)), lambda x: F.struct(x["score"].alias("score"), F.concat(F.get(ways, -x["back"] - 1)["path"], F.array(x["id"])).alias("path")))).cast(way)
 
-    begin = F.array(F.struct(F.lit(0.0).cast("float").alias("score"), F.lit(0).alias("back"), F.array().cast("array<int>").alias("path"))).cast(way)
+    begin = F.array(F.struct(F.lit(0.0).cast("float").alias("score"), F.array().cast("array<int>").alias("path"))).cast(way)
     folded = lattice.select("word", F.aggregate(F.sequence(F.lit(1), F.char_length("word")), begin, step, lambda ways: F.element_at(ways, -1)["path"]).alias("pieces"))
 
     def fold(batch: pa.RecordBatch) -> dict:
         return {"word": batch.column(0), "pieces": [model.best(w) for w in batch.column(0).to_pylist()]}
 
-    return folded.unionByName(map_batches(words.where(F.char_length("word") > FOLD_CHARS).select("word"), fold, "word string, pieces array<int>"))
+    return folded.unionByName(map_batches(words.where(chars > FOLD_CHARS).select("word"), fold, "word string, pieces array<int>"))
 
 
 def _code_point(name: str):
@@ -156,87 +161,135 @@ def _code_point(name: str):
 def _blocks(docs: DataFrame, model: Model) -> DataFrame:
     """``block, doc_ids, counts, words, numbers``: consecutive documents of a task with the words they use.
 
-    A block ends with the document that brings it to ``BLOCK_WORDS`` words or ``BLOCK_CHARS`` characters.
+    A block has at most ``BLOCK_WORDS`` words and ``BLOCK_CHARS`` characters, or one slice. ``numbers`` is compressed.
     """
 
+    def cut(names: pa.Array) -> pa.Array:
+        """The words of each token, as ``Model.parts`` cuts them."""
+        if pc.any(pc.match_substring(names, _MARK)).as_py():
+            return pa.array([model.parts(t) for t in names.to_pylist()], pa.list_(pa.string()))
+        whole = pc.binary_join_element_wise(pa.scalar(SPACE), pc.replace_substring(names, " ", SPACE), "")
+        marked = pc.replace_substring_regex(whole, f"({model.words.pattern})", f"\\1{_MARK}")
+        return pc.split_pattern(pc.utf8_slice_codeunits(marked, 0, -1), _MARK)
+
+    def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, np.ndarray, pa.Array, np.ndarray, int]]:
+        """Of some documents: their ids, words each, different words, the places of all words in these, characters."""
+        for batch in batches:
+            every = pc.fill_null(batch.column(1), "")
+            ends = np.cumsum(pc.utf8_length(every).to_numpy(zero_copy_only=False), dtype=np.int64)
+            start = 0
+            while start < len(every):
+                done = int(ends[start - 1]) if start else 0
+                stop = max(start + 1, int(np.searchsorted(ends, done + SLICE_CHARS, "right")))
+                texts, keys = every.slice(start, stop - start), batch.column(0).slice(start, stop - start)
+                odd = pc.or_(pc.match_substring_regex(texts, "^ | $|  "), pc.equal(texts, ""))
+                plain = pc.split_pattern(texts.filter(pc.invert(odd)), " ")
+                rest = [tokens(t) for t in texts.filter(odd).to_pylist()]
+                sizes = np.r_[plain.value_lengths().to_numpy(zero_copy_only=False), [len(r) for r in rest]].astype(np.int64)
+                coded = pa.concat_arrays([plain.flatten(), pa.array([t for r in rest for t in r], pa.string())]).dictionary_encode()
+                parts = cut(coded.dictionary)
+                count = parts.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+                words = parts.flatten().dictionary_encode()
+                at = coded.indices.to_numpy(zero_copy_only=False)
+                each, begin = count[at], (np.cumsum(count) - count)[at]
+                total = np.r_[0, np.cumsum(each)]
+                where = np.repeat(begin - total[:-1], each) + np.arange(int(total[-1]))
+                order = pa.concat_arrays([keys.filter(pc.invert(odd)), keys.filter(odd)]).to_pylist()
+                yield order, np.diff(total[np.r_[0, np.cumsum(sizes)]]), words.dictionary, words.indices.to_numpy(zero_copy_only=False)[where], int(ends[stop - 1]) - done
+                start = stop
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, chars = TaskContext.get().partitionId() << 32, 0
-        keys, held, known = [], [], {}
+        keys, counts, held, known = [], [], [], {}
 
         def close() -> pa.RecordBatch:
-            words: dict[str, int] = {}
-            parts = [[words.setdefault(w, len(words)) for w in model.parts(token)] for token in known]
-            count = np.array([len(p) for p in parts], np.int64)
-            flat = np.array([w for p in parts for w in p], np.uint32)
-            at = np.concatenate(held).astype(np.int64)
-            each, begin = count[at] if len(at) else at, (np.cumsum(count) - count)[at] if len(at) else at
-            numbers = flat[np.repeat(begin, each) + np.arange(int(each.sum())) - np.repeat(np.cumsum(each) - each, each)]
-            total = np.r_[0, np.cumsum(each)]
-            counts = np.diff(total[np.r_[0, np.cumsum([len(h) for h in held])]])
-            raw = numbers.astype("<u4" if len(words) > 1 << 16 else "<u2").tobytes()
+            raw = np.concatenate(held).astype("<u4" if len(known) > 1 << 16 else "<u2").tobytes()
             return pa.RecordBatch.from_arrays(
-                [pa.array([block]), pa.array([keys], pa.list_(pa.int64())), pa.array([counts.tolist()], pa.list_(pa.int64())), pa.array([list(words)], pa.list_(pa.string())), pa.array([raw], pa.binary())],
+                [pa.array([block]), pa.array([keys], pa.list_(pa.int64())), pa.array([np.concatenate(counts)], pa.list_(pa.int64())), pa.array([list(known)], pa.list_(pa.string())), pa.array([pa.compress(raw, codec="zstd", asbytes=True)], pa.binary())],
                 names=["block", "doc_ids", "counts", "words", "numbers"],
             )
 
-        for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                found = tokens(text or "")
-                for token in set(found):
-                    if token not in known:
-                        known[token] = len(known)
-                held.append(np.fromiter(map(known.__getitem__, found), np.uint32, len(found)))
-                keys.append(key)
-                chars += len(text or "")
-                if len(known) >= BLOCK_WORDS or chars >= BLOCK_CHARS:
-                    yield close()
-                    block, chars = block + 1, 0
-                    keys, held, known = [], [], {}
+        for ids, each, words, places, size in sliced(batches):
+            names = words.to_pylist()
+            if keys and (chars + size > BLOCK_CHARS or len(known) + sum(w not in known for w in names) > BLOCK_WORDS):
+                yield close()
+                block, chars = block + 1, 0
+                keys, counts, held, known = [], [], [], {}
+            number = np.fromiter((known.setdefault(w, len(known)) for w in names), np.uint32, len(names))
+            held.append(number[places])
+            counts.append(each)
+            keys += ids
+            chars += size
         if keys:
             yield close()
 
     return docs.mapInArrow(run, "block long, doc_ids array<long>, counts array<long>, words array<string>, numbers binary")
 
 
+def _by_block(blocks: DataFrame) -> DataFrame:
+    """``blocks`` as a table in buckets of whole blocks, which a later join by block reads where they are."""
+    spark = blocks.sparkSession
+    name = f"blocks_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = blocks.write.format("parquet").bucketBy(buckets, "block").option("path", f"{shared_root(spark).rstrip('/')}/{name}")
+    writer.saveAsTable(name)
+    return spark.table(name)
+
+
+@contextmanager
+def _groups_in_memory(spark: SparkSession, groups: int):
+    """Lists of so many groups are collected in memory before Spark turns to sorting."""
+    name = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(groups))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every row as ``doc_id, n_words, ids`` (little-endian 32-bit piece ids, binary).
 
     A null or empty text has no pieces. Repeated rows and null ids are documents like others. An empty table gives an empty result; other columns are ignored.
     """
     model = Model(model_path)
-    blocks = written(_blocks(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")), model), "blocks")
-    used = blocks.select("block", F.posexplode("words").alias("pos", "word"))
-    words = written(used.groupBy("word").agg(F.lit(1).alias("one")).select("word"), "words")
-    tasks = min(MAX_TASKS, max(1, math.ceil(words.count() / WORDS_PER_TASK)))  # the lattices of a task fit its memory
-    known = written(encode_words(words.repartition(tasks, "word"), model), "word-pieces")
-    slices = used.join(known, "word").groupBy("block").agg(F.collect_list(F.struct("pos", "pieces")).alias("slice"))
-    met = blocks.select("block", "doc_ids", "counts", "numbers").join(slices, "block", "left")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                keys, counts = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
-                ids, ends = _block_ids(model, batch.column(2)[i].as_py(), batch.column(3)[i], counts)
-                rows = [ids[a:b].tobytes() for a, b in zip([0, *ends], ends)]
-                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(counts, pa.int64()), pa.array(rows, pa.binary())], names=["doc_id", "n_words", "ids"])
-
-    return met.select("doc_ids", "counts", "numbers", "slice").mapInArrow(run, "doc_id long, n_words long, ids binary")
-
-
-def _block_ids(model: Model, numbers: bytes, slice_: pa.Scalar, counts: list[int]) -> tuple[np.ndarray, list[int]]:
+    spark = docs.sparkSession
+    blocks = _by_block(_blocks(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")), model))
+    used = blocks.select("block", F.posexplode("words").alias("pos", "word")).where("word IS NOT NULL")
+    pairs = blocks.agg(F.sum(F.size("words"))).first()[0] or 0
+    placed = used.repartition(min(MAX_TASKS, max(1, math.ceil(pairs / WORDS_PER_TASK))), "word")  # the lattices of a task fit its memory
+    # What is filtered here is known only behind the grouping, and all columns are used, so Spark shuffles the words once for all branches.
+    words = placed.groupBy("word").agg(F.max(F.char_length("word")).alias("chars"), F.max("block").alias("last"), F.max("pos").alias("far"))
+    words = words.where("last IS NOT NULL AND far IS NOT NULL")
+    with _groups_in_memory(spark, 2 * WORDS_PER_TASK):
+        pieces = written(encode_words(words, model).join(placed, "word").select("block", "pos", "pieces"), "word-pieces")
+
+    def run(key: tuple, met: pa.Table, block: pa.Table) -> pa.Table:
+        keys, counts = block.column("doc_ids")[0].as_py(), block.column("counts")[0].as_py()
+        ids, ends = _block_ids(model, block.column("numbers")[0].as_py(), met.combine_chunks(), counts)
+        rows = [ids[a:b].tobytes() for a, b in zip([0, *ends], ends)]
+        return pa.table({"doc_id": pa.array(keys, pa.int64()), "n_words": pa.array(counts, pa.int64()), "ids": pa.array(rows, pa.binary())})
+
+    whole = blocks.select("block", "doc_ids", "counts", "numbers").groupBy("block")
+    return pieces.groupBy("block").cogroup(whole).applyInArrow(run, "doc_id long, n_words long, ids binary")
+
+
+def _block_ids(model: Model, numbers: bytes, met: pa.Table, counts: list[int]) -> tuple[np.ndarray, list[int]]:
     """The ids of all documents of a block, and where each document ends."""
-    if not slice_.is_valid:
+    if not met.num_rows:
         return np.zeros(0, np.int32), [0] * len(counts)
-    pos, pieces = slice_.values.field("pos").to_numpy(), slice_.values.field("pieces")
+    pos, pieces = met.column("pos").to_numpy(), met.column("pieces").combine_chunks()
     size = len(pos)
-    raw, count = pieces.flatten().to_numpy(), np.diff(pieces.offsets.to_numpy())
+    raw, count = pieces.flatten().to_numpy(), pieces.value_lengths().to_numpy().astype(np.int64)
     if len(raw) and raw.min() < 0:
         parts = [model.expand(list(raw[a:b])) for a, b in zip(np.cumsum(count) - count, np.cumsum(count), strict=True)]
         raw, count = np.concatenate(parts), np.array([len(p) for p in parts], np.int64)
     begin = np.cumsum(count) - count
     first, many = np.zeros(size, np.int64), np.zeros(size, np.int64)
     first[pos], many[pos] = begin, count
-    at = np.frombuffer(numbers, "<u4" if size > 1 << 16 else "<u2").astype(np.int64)
+    kind = np.dtype("<u4" if size > 1 << 16 else "<u2")
+    at = np.frombuffer(pa.decompress(numbers, decompressed_size=kind.itemsize * sum(counts), codec="zstd", asbytes=True), kind).astype(np.int64)
     each = many[at]
     total = np.cumsum(each)
     ids = raw[np.repeat(first[at], each) + np.arange(int(each.sum())) - np.repeat(total - each, each)].astype("<i4")

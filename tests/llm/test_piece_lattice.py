@@ -69,3 +69,27 @@ def test_query_decodes_to_the_text(spark, sf):
     got = {r.doc_id: r.decoded_sha256 for r in queries.op10_piece_lattice(spark, sf).collect()}
     given = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", F.coalesce("text", F.lit("")).alias("text")).collect()
     assert got == {r.doc_id: hashlib.sha256(r.text.encode()).hexdigest() for r in given}
+
+
+def test_blocks_are_large_and_hold_the_words_of_every_text(spark):
+    """More words than 16 bits number stay one block, odd texts included; the words of each document are those the model cuts."""
+    import pyarrow as pa
+
+    model = piece_lattice.Model(PATH)
+    texts = [" ".join(f"w{i}x" for i in range(70_000)), *(t or "" for _, t in ODD), "a\x01b c,d", "x▁y,▁z"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    (block,) = piece_lattice._blocks(docs, model).collect()
+    width = np.dtype("<u4")
+    places = np.frombuffer(pa.decompress(bytes(block.numbers), decompressed_size=width.itemsize * sum(block.counts), codec="zstd", asbytes=True), width)
+    ends = np.cumsum(block.counts)
+    got = {i: [block.words[p] for p in places[end - n : end]] for i, n, end in zip(block.doc_ids, block.counts, ends, strict=True)}
+    assert len(block.words) > 70_000 and got == {i: model.split(t) for i, t in enumerate(texts)}
+
+
+def test_the_setting_for_groups_comes_back(spark):
+    name = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
+    with piece_lattice._groups_in_memory(spark, 7):
+        assert spark.conf.get(name) == "7"
+    before = spark.conf.get(name)
+    piece_lattice.encode(spark.createDataFrame([(1, "the cat")], "doc_id long, text string"), PATH).collect()
+    assert spark.conf.get(name) == before != "7"

@@ -6,10 +6,12 @@ ever listed. Tables with one row per cluster are joined back under a size check.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -19,10 +21,13 @@ from pyspark.sql import functions as F
 
 from skillweave.functions.vectors import as_double, to_matrix
 from skillweave.operators.joins import lookup_join
-from skillweave.session import cut_lineage
+from skillweave.session import cut_lineage, written
 
 SILHOUETTE_SAMPLE = 2000
 ROWS_AT_ONCE = 256
+#: Numbers a task holds for its block of points in ``silhouettes``: vectors, and a sum per cluster of every labelling.
+BLOCK_VALUES = 8_000_000
+POINTS_AT_ONCE = 2048
 
 
 def _squared_distance(a: Column, b: Column) -> Column:
@@ -150,6 +155,97 @@ def silhouette(df: DataFrame, label: str, sample: int = SILHOUETTE_SAMPLE, vecto
     return silhouette_points(df, label, sample, vector, key).agg(F.avg("silhouette").alias("silhouette"))
 
 
+class _Block:
+    """Points of one task with the sum of their distances to every cluster of every labelling, as far as the others have passed."""
+
+    def __init__(self, ids: np.ndarray, points: np.ndarray, own: np.ndarray, columns: int):
+        order = np.argsort(ids)
+        self.ids, self.points, self.own = ids[order], points[order], own[order]
+        self.squares = np.square(self.points).sum(axis=1)
+        self.sums = np.zeros((len(ids), columns))
+
+    def add(self, ids: np.ndarray, points: np.ndarray, clusters: np.ndarray) -> None:
+        """``clusters``: the column of a point's cluster in each labelling."""
+        for start in range(0, len(ids), POINTS_AT_ONCE):
+            some = slice(start, start + POINTS_AT_ONCE)
+            others, member = points[some], np.zeros((len(ids[some]), self.sums.shape[1]))
+            np.put_along_axis(member, clusters[some], 1.0, axis=1)
+            squares = np.square(others).sum(axis=1)
+            place = np.minimum(np.searchsorted(self.ids, ids[some]), len(self.ids) - 1)
+            same = np.flatnonzero(self.ids[place] == ids[some])
+            for first in range(0, len(self.ids), ROWS_AT_ONCE):
+                rows = slice(first, first + ROWS_AT_ONCE)
+                gap = self.points[rows] @ (-2.0 * others.T)
+                gap += self.squares[rows, None]
+                gap += squares
+                np.maximum(gap, 0.0, out=gap)
+                np.sqrt(gap, out=gap)
+                here = same[(place[same] >= first) & (place[same] < first + ROWS_AT_ONCE)]
+                gap[place[here] - first, here] = 0.0
+                self.sums[rows] += gap @ member
+
+    def values(self, sizes: np.ndarray, starts: np.ndarray) -> Iterator[np.ndarray]:
+        """The silhouette of every point in each labelling, NaN where it has one cluster only; ``sizes`` by column."""
+        at = np.arange(len(self.ids))
+        for number, (start, end) in enumerate(zip(starts[:-1], starts[1:])):
+            own = self.own[:, number] - start
+            size, sums = sizes[start:end], self.sums[:, start:end]
+            a = sums[at, own] / np.maximum(size[own] - 1, 1)
+            mean = sums / size
+            mean[at, own] = np.inf
+            b = mean.min(axis=1)
+            alone = np.isinf(b)
+            b[alone] = 0.0
+            value = np.where(size[own] > 1, (b - a) / np.maximum(np.maximum(a, b), 1e-300), 0.0)
+            yield np.where(alone, np.nan, value)
+
+
+def silhouettes(df: DataFrame, labels: list[str], vector: str = "embedding") -> dict[str, float | None]:
+    """The mean Euclidean silhouette over all points, for each of several labellings; None where it has one cluster only.
+
+    A task holds a block of points and all points stream past it, so a distance is computed once for all labellings, no pair
+    is listed and memory does not grow with the table. The work grows with its square.
+    """
+    spark = df.sparkSession
+    points = written(df.select(F.monotonically_increasing_id().alias("_at"), *labels, F.col(vector).alias("_vector")), "silhouette_points")
+    places = F.explode(F.array(*[F.struct(F.lit(i).alias("labelling"), F.col(c).cast("string").alias("cluster")) for i, c in enumerate(labels)])).alias("_of")
+    counts = points.select(places).groupBy("_of.labelling", "_of.cluster").count().orderBy("labelling", "cluster").collect()  # a row per cluster
+    if not counts:
+        return dict.fromkeys(labels)
+    names = [[r["cluster"] for r in counts if r["labelling"] == i] for i in range(len(labels))]
+    starts = np.cumsum([0, *map(len, names)])
+    sizes = np.array([r["count"] for r in counts])
+    width = points.select(F.max(F.size("_vector"))).first()[0]
+    rows, cores = sum(sizes[: starts[1]]), spark.sparkContext.defaultParallelism
+    n_blocks = math.ceil(rows / max(1, BLOCK_VALUES // (2 * width + 2 * len(sizes))) / cores) * cores
+    block = F.pmod(F.xxhash64("_at"), F.lit(n_blocks)).cast("int").alias("_block")
+    left = points.select(block, F.lit(0).alias("_role"), *points.columns)
+    right = points.select(F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("_block"), F.lit(1).alias("_role"), *points.columns)
+    met = left.unionByName(right).repartitionById(n_blocks, "_block").sortWithinPartitions("_role")
+
+    def read(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        own = [pc.index_in(batch.column(c).cast(pa.string()), value_set=pa.array(n, pa.string())).to_numpy(zero_copy_only=False) for c, n in zip(labels, names)]
+        return batch.column("_at").to_numpy(), to_matrix(batch.column("_vector")), np.stack(own, axis=1) + starts[:-1]
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, held = [], None
+        for batch in batches:
+            first = int(np.searchsorted(batch.column("_role").to_numpy(), 1))
+            if first:
+                waiting.append(read(batch.slice(0, first)))
+            if first < batch.num_rows and (waiting or held):
+                if held is None:
+                    held, waiting = _Block(*(np.concatenate(part) for part in zip(*waiting)), len(sizes)), []
+                held.add(*read(batch.slice(first)))
+        if held is not None:
+            found = [v[~np.isnan(v)] for v in held.values(sizes, starts)]
+            columns = [pa.array(range(len(labels)), pa.int32()), pa.array([v.sum() for v in found]), pa.array([len(v) for v in found], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["labelling", "total", "n"])
+
+    parts = met.mapInArrow(measure, "labelling int, total double, n bigint").groupBy("labelling").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+    return {labels[r["labelling"]]: r["total"] / r["n"] if r["n"] else None for r in parts.collect()}
+
+
 def silhouette_sq(df: DataFrame, label: str, vector: str = "embedding") -> float:
     """Spark's own silhouette on squared distances over all points; another number than the Euclidean one."""
     points = df.select(F.col(label).cast("double").alias("prediction"), array_to_vector(as_double(F.col(vector))).alias("features"))

@@ -122,7 +122,7 @@ def kmeans_sweep(
     key: str = "ID",
     parallelism: int = PARALLEL_RUNS,
 ) -> tuple[DataFrame, dict[int, KMeansModel]]:
-    """All quality scores for every k, and the fitted models, so the chosen one is not fitted again."""
+    """All quality scores for every k over all points, and the fitted models, so the chosen one is not fitted again."""
     points = for_iterations(_vectors(df.select(key, vector), vector)).persist(StorageLevel.MEMORY_AND_DISK)
 
     def score(k: int) -> tuple:
@@ -130,7 +130,7 @@ def kmeans_sweep(
         spread = quality.dispersion(labelled, "cluster_id", vector).first()
         return (
             k,
-            quality.silhouette(labelled, "cluster_id", vector=vector, key=key).first()["silhouette"],
+            apart[f"_in_{k}"],
             quality.davies_bouldin(labelled, "cluster_id", vector).first()["davies_bouldin"],
             spread["calinski_harabasz"],
             spread["inertia"],
@@ -139,6 +139,10 @@ def kmeans_sweep(
     try:
         runs = [(k, s) for k in range(k_min, k_max + 1) for s in range(seed, seed + n_init)]
         models = _fit_all(points, runs, parallelism)
+        placed = points
+        for k, model in models.items():
+            placed = model.copy({model.predictionCol: f"_in_{k}"}).transform(placed)
+        apart = quality.silhouettes(placed, [f"_in_{k}" for k in models], vector)
         with ThreadPool(max(1, min(parallelism, len(models)))) as pool:
             rows = pool.map(inheritable_thread_target(df.sparkSession)(score), sorted(models))
     finally:

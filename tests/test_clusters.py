@@ -58,6 +58,45 @@ def test_silhouette_sample_is_bounded(blobs):
     assert quality.silhouette_points(blobs[0], "label", sample=20).count() == 20
 
 
+def test_sweep_scores_all_points(spark):
+    """More points than the sample of ``silhouette_points``: the score is the mean over every one, keys repeated or missing."""
+    draw = np.random.default_rng(3)
+    x = draw.normal(size=(2300, 3)) + 2.0 * draw.integers(0, 3, (2300, 1))
+    x[:40] = x[40]
+    data = [(None if i % 50 == 0 else i // 2, v) for i, v in enumerate(x.tolist())]
+    df = spark.createDataFrame(data, "ID int, embedding array<double>")
+    scores, models = clustering.kmeans_sweep(df, 2, 3, n_init=1)
+    got = {r["k"]: r["silhouette"] for r in scores.collect()}
+    for k, model in models.items():
+        y = np.argmin(np.linalg.norm(x[:, None] - np.array(model.clusterCenters()), axis=2), axis=1)
+        assert got[k] == pytest.approx(_mean_silhouette(x, y), abs=1e-9)
+
+
+def _mean_silhouette(x, y):
+    distance = np.linalg.norm(x[:, None] - x[None], axis=2)
+    size = np.bincount(y)
+    mean = np.stack([distance[:, y == c].sum(axis=1) for c in range(len(size))], axis=1)
+    at, alone = np.arange(len(y)), size[y] == 1
+    a = mean[at, y] / np.maximum(size[y] - 1, 1)
+    mean = mean / size
+    mean[at, y] = np.inf
+    b = mean.min(axis=1)
+    return np.where(alone, 0.0, (b - a) / np.maximum(a, b)).mean()
+
+
+def test_silhouettes_of_several_labellings(spark, monkeypatch):
+    """Small blocks and chunks, labels of any type, a cluster of one point, a labelling of one cluster, and no points."""
+    monkeypatch.setattr(quality, "BLOCK_VALUES", 400)
+    monkeypatch.setattr(quality, "POINTS_AT_ONCE", 7)
+    draw = np.random.default_rng(4)
+    x, a, b = draw.normal(size=(120, 2)), draw.integers(0, 3, 120), draw.integers(0, 5, 120)
+    b[7] = 5
+    df = spark.createDataFrame([(int(a[i]), f"c{b[i]}", 1, v) for i, v in enumerate(x.tolist())], "a int, b string, c int, embedding array<double>")
+    got = quality.silhouettes(df, ["a", "b", "c"])
+    assert got == {"a": pytest.approx(_mean_silhouette(x, a)), "b": pytest.approx(_mean_silhouette(x, b)), "c": None}
+    assert quality.silhouettes(df.limit(0), ["a", "b"]) == {"a": None, "b": None}
+
+
 def test_external_measures(spark):
     df = spark.createDataFrame([(0, "a"), (0, "a"), (0, "b"), (1, "b")], "c int, cat string")
     assert quality.purity(df, "c", "cat").first()[0] == pytest.approx(0.75)

@@ -6,11 +6,15 @@ from a centre, no member of the cell can be nearer than ``phi - radius``, so ``c
 the cell.
 
 A query first visits its home cells, those of highest bound until they hold ``k`` items; the ``k``-th score found there is a floor.
-Then it visits every other cell whose bound reaches the floor, and no other. A visit is a row (cell, query); visits meet the items
-of their cell by a cogroup on (cell, shard, block): a cell of more than ``SHARD_ROWS`` items is cut into shards by item hash, and
-the visits of a cell beyond ``BLOCK_ROWS`` queries into blocks by query hash, so neither a cell of copies nor a query that
-visits everything lands in one task. Inside a task queries and items are numbered by position; one integer orders by rounded
-score, then by item id, and only the best ``k`` of each query leave the task.
+Such a visit is a row (cell, query); visits meet the items of their cell by a cogroup on (cell, shard, block): a cell of more than
+``SHARD_ROWS`` items is cut into shards by item hash, and the visits of a cell beyond ``BLOCK_ROWS`` queries into blocks by query
+hash, so neither a cell of copies nor a query that visits everything lands in one task.
+
+Then it is scored against every cell whose bound reaches the floor, and no other. No row is made for that: queries that are near
+the same centres are held as a block of bounded size by a task, and the cells that any of them needs stream past it, a cell at a
+time, of which each query only meets those that it needs itself. What is moved is a copy of an item per block, however
+many cells a query needs. Inside a task one integer orders by rounded score, then by item id, and only the best ``k`` of each
+query leave it.
 
 Scores are the cosine rounded to six places; ties go to the smaller item id, as in ``similarity.topk_cosine``.
 """
@@ -22,13 +26,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from skillweave.functions.vectors import unit_rows
+from skillweave.functions.vectors import to_matrix, unit_rows
 from skillweave.operators.ranking import top_within
-from skillweave.operators.similarity import NO_FLOOR, SCALE, _Best
+from skillweave.operators.similarity import BLOCK_VALUES, NO_FLOOR, SCALE, _Best
 from skillweave.session import written
 
 CELL_ROWS = 2_000
@@ -41,6 +48,8 @@ READ_ROWS = 2_048
 FIT_ROUNDS = 5
 #: Room for float error in bounds: a cell is skipped only when its bound is below the floor by more than this.
 MARGIN = 4e-6
+#: A product in blocks of another shape may round a score one step lower.
+STEP = 1.5e-6
 
 
 def _matrix(values: pd.Series) -> np.ndarray:
@@ -76,7 +85,7 @@ def fit_centres(items: DataFrame, item_id: str, vector: str, cells: int, sample_
 def _cells_of(items: DataFrame, centres: np.ndarray, item_id: str, vector: str, carry: list[str]) -> DataFrame:
     shared = items.sparkSession.sparkContext.broadcast(centres)
     fields = [items.schema[c] for c in (item_id, *carry)]
-    schema = T.StructType([*fields, T.StructField(vector, T.ArrayType(T.DoubleType())), T.StructField("cell", T.IntegerType()), T.StructField("cos", T.DoubleType())])
+    schema = T.StructType([*fields, items.schema[vector], T.StructField("cell", T.IntegerType()), T.StructField("cos", T.DoubleType())])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         mids = shared.value
@@ -84,8 +93,7 @@ def _cells_of(items: DataFrame, centres: np.ndarray, item_id: str, vector: str,
             points = unit_rows(_matrix(frame[vector]))
             near = points @ mids.T
             cell = np.argmax(near, axis=1)
-            out = frame[[item_id, *carry]].copy()
-            out[vector] = list(points)
+            out = frame[[item_id, *carry, vector]].copy()
             out["cell"] = cell.astype(np.int32)
             out["cos"] = near[np.arange(len(cell)), cell]
             yield out
@@ -101,7 +109,7 @@ def _bounds(q: np.ndarray, mids: np.ndarray, radius: np.ndarray) -> np.ndarray:
 def _visits(queries: DataFrame, index: tuple, k: int, query_id: str, vector: str, floors: DataFrame | None) -> DataFrame:
     """(query, vector, cell, home) rows: home cells first, or with ``floors`` the other cells whose bound reaches the floor."""
     shared = queries.sparkSession.sparkContext.broadcast(index)
-    schema = T.StructType([queries.schema[query_id], T.StructField(vector, T.ArrayType(T.DoubleType())), T.StructField("cell", T.IntegerType())])
+    schema = T.StructType([queries.schema[query_id], queries.schema[vector], T.StructField("cell", T.IntegerType())])
     source = queries.select(query_id, vector, F.lit(None).cast("double").alias("_floor")) if floors is None else queries.join(floors, query_id, "left")
     homes = floors is None
 
@@ -124,10 +132,10 @@ def _visits(queries: DataFrame, index: tuple, k: int, query_id: str, vector: str
                 floor = frame["_floor"].to_numpy(np.float64, na_value=-np.inf)
                 pick = ~home & (bound >= floor[:, None] - MARGIN)
             rows, cells = np.nonzero(pick)
-            ids = frame[query_id].to_numpy()
+            ids, given = frame[query_id].to_numpy(), frame[vector].to_numpy()
             for start in range(0, len(rows), READ_ROWS):
                 some = rows[start : start + READ_ROWS]
-                yield pd.DataFrame({query_id: ids[some], vector: list(q[some]), "cell": cells[start : start + READ_ROWS].astype(np.int32)})
+                yield pd.DataFrame({query_id: ids[some], vector: given[some], "cell": cells[start : start + READ_ROWS].astype(np.int32)})
 
     return source.mapInPandas(run, schema)
 
@@ -184,7 +192,115 @@ def _index(items: DataFrame, item_id: str, vector: str, carry: list[str], cell_r
 
 
 def _floors(first: DataFrame, k: int, query_id: str, item_id: str) -> DataFrame:
-    return top_within(first, [query_id], [F.desc("score"), F.asc(item_id)], k).where(F.col("rank") == k).select(query_id, F.col("score").alias("_floor"))
+    ranked = top_within(first, [query_id], [F.desc("score"), F.asc(item_id)], k)
+    return ranked.where(F.col("rank") == k).select(query_id, (F.col("score") - STEP).alias("_floor"))
+
+
+def _layout(needed: int, cores: int) -> tuple[int, int]:
+    """Blocks of queries, ``needed`` at least, and shards of items that give every core a task and move few copies."""
+    if needed >= cores:
+        return math.ceil(needed / cores) * cores, 1
+    return min(((blocks, cores // blocks) for blocks in range(max(1, needed), cores + 1) if cores % blocks == 0), key=sum)
+
+
+def _plain(column: pa.Array) -> np.ndarray:
+    """Numbers as they are, all else and columns with nulls as objects."""
+    kind = column.type
+    if column.null_count or not (pa.types.is_integer(kind) or pa.types.is_floating(kind) or pa.types.is_boolean(kind)):
+        return np.fromiter(column.to_pylist(), dtype=object, count=len(column))
+    return column.to_numpy(zero_copy_only=False)
+
+
+def _dealt(queries: DataFrame, floors: DataFrame, index: tuple, k: int, query_id: str, vector: str) -> tuple[DataFrame, int, int]:
+    """(query, vector, floor, home, block) of the queries that have a vector; blocks of about one size, by home cell; blocks and shards."""
+    mids = index[0]
+    shared = queries.sparkSession.sparkContext.broadcast(mids)
+
+    @F.arrow_udf(T.IntegerType())
+    def home(vectors: pa.Array) -> pa.Array:
+        parts = [unit_rows(to_matrix(vectors.slice(at, READ_ROWS))) @ shared.value.T for at in range(0, len(vectors), READ_ROWS)]
+        return pa.array(np.concatenate([p.argmax(axis=1) for p in parts]).astype(np.int32) if parts else [], pa.int32())
+
+    there = queries.where(F.col(vector).isNotNull()).join(floors, query_id, "left")
+    placed = written(there.select(query_id, vector, "_floor", home(F.col(vector)).alias("_home"), F.monotonically_increasing_id().alias("_at")), "cell_queries")
+    counts = placed.groupBy("_home").count().orderBy("_home").toPandas()  # a row per cell
+    total = int(counts["count"].sum())
+    blocks, shards = _layout(math.ceil(total / max(1, BLOCK_VALUES // (3 * k + 2 * mids.shape[1]))), queries.sparkSession.sparkContext.defaultParallelism)
+    counts["_before"] = counts["count"].cumsum() - counts["count"]
+    starts = F.broadcast(queries.sparkSession.createDataFrame(counts.astype({"_home": "int32"}), "_home int, count bigint, _before bigint"))
+    # A place among the queries of the same home by hash: a home of many queries is spread over several blocks.
+    place = F.col("_before") + F.floor(F.pmod(F.xxhash64("_at"), F.lit(1 << 20)) / F.lit(float(1 << 20)) * F.col("count"))
+    block = F.floor(place * blocks / max(1, total)).cast("int").alias("_block")
+    return placed.join(starts, "_home").select(query_id, vector, "_floor", "_home", block), blocks, shards
+
+
+def _needed(dealt: DataFrame, index: tuple, vector: str) -> DataFrame:
+    """(cell, blocks): the blocks of which a query may find something in the cell."""
+    shared = dealt.sparkSession.sparkContext.broadcast(index)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mids, radius, _ = shared.value
+        found: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for at in range(0, batch.num_rows, READ_ROWS):
+                part = batch.slice(at, READ_ROWS)
+                floor = part.column("_floor").fill_null(NO_FLOOR).to_numpy(zero_copy_only=False)
+                reach = _bounds(unit_rows(to_matrix(part.column(vector))), mids, radius) >= floor[:, None] - MARGIN
+                blocks = part.column("_block").to_numpy(zero_copy_only=False)
+                for block in np.unique(blocks).tolist():
+                    found[block] = found.get(block, False) | reach[blocks == block].any(axis=0)
+        for block, cells in found.items():
+            cells = np.flatnonzero(cells).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(np.full(len(cells), block, np.int32))], names=["cell", "block"])
+
+    pairs = dealt.select(vector, "_floor", "_block").mapInArrow(run, "cell int, block int")
+    return pairs.groupBy("cell").agg(F.collect_set("block").alias("_blocks"))
+
+
+def _stream(dealt: DataFrame, blocks: int, shards: int, index: tuple, placed: DataFrame, k: int, query_id: str, item_id: str, vector: str, carry: list[str], out: T.StructType) -> DataFrame:
+    """Best ``k`` items of each query among a shard of the items, all cells that its block needs streaming past the block."""
+    spark = dealt.sparkSession
+    values = dealt.schema[vector].dataType if dealt.schema[vector].dataType == placed.schema[vector].dataType else T.ArrayType(T.DoubleType())
+    shard = F.pmod(F.xxhash64(item_id), F.lit(shards)).cast("int")
+    left = dealt.select(F.explode(F.sequence(F.col("_block") * shards, F.col("_block") * shards + shards - 1)).alias("_task"), F.lit(0).alias("_role"),
+                        F.col("_home").alias("_cell"), F.col(vector).cast(values).alias("_vector"), F.col(query_id).alias("_query"), "_floor")
+    needed = F.broadcast(_needed(dealt, index, vector))  # a row per cell
+    right = placed.join(needed, "cell").select(F.explode(F.transform("_blocks", lambda b: b * shards + shard)).alias("_task"), F.lit(1).alias("_role"),
+                                               F.col("cell").alias("_cell"), F.col(vector).cast(values).alias("_vector"), item_id, *carry)
+    met = left.unionByName(right, allowMissingColumns=True).repartitionById(blocks * shards, "_task").sortWithinPartitions("_role", "_cell")
+    schema = to_arrow_schema(out)
+    inside = schema.insert(len(schema) - 1, pa.field("_missing", pa.bool_()))
+    shared = spark.sparkContext.broadcast(index)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mids, radius, _ = shared.value
+        waiting, best = [], None
+        for batch in batches:
+            first = int(np.searchsorted(batch.column("_role").to_numpy(), 1))
+            block, part = batch.slice(0, first), batch.slice(first)
+            if first:
+                floors = block.column("_floor").fill_null(NO_FLOOR).to_numpy(zero_copy_only=False)
+                waiting.append((np.fromiter(block.column("_query").to_pylist(), dtype=object, count=first), to_matrix(block.column("_vector")), floors))
+            if not part.num_rows or not (waiting or best):
+                continue
+            if best is None:
+                best, waiting = _Best(*[np.concatenate(some) for some in zip(*waiting)], k), []
+            ids = part.column(item_id)
+            there = ids.is_valid().to_numpy(zero_copy_only=False)  # a missing id is the least
+            least = "" if pa.types.is_string(ids.type) else pc.min(ids).as_py() or 0
+            columns = [_plain(ids.fill_null(least)), *[_plain(part.column(c)) for c in carry], ~there]
+            points, cell = to_matrix(part.column("_vector")), part.column("_cell").to_numpy()
+            edges = [0, *(np.flatnonzero(np.diff(cell)) + 1).tolist(), len(cell)]
+            for start, end in zip(edges[:-1], edges[1:]):
+                at = cell[start]
+                bound = _bounds(best.queries, mids[at : at + 1], radius[at : at + 1])[:, 0]
+                best.add([c[start:end] for c in columns], points[start:end], bound >= best.lowest() - MARGIN)
+        if best is not None:
+            for found in best.batches(inside):
+                ids = pc.if_else(found.column("_missing"), pa.scalar(None, found.column(item_id).type), found.column(item_id))
+                yield pa.RecordBatch.from_arrays([ids if c == item_id else found.column(c) for c in schema.names], schema=schema)
+
+    return met.mapInArrow(score, out)
 
 
 def topk_cosine_cells(queries: DataFrame, items: DataFrame, k: int, query_id: str = "JobID", item_id: str = "ID", vector: str = "embedding",
@@ -205,8 +321,9 @@ def topk_cosine_cells(queries: DataFrame, items: DataFrame, k: int, query_id: st
     placed, index, cells = built
     queries = queries.select(query_id, vector)
     first = written(_score(_visits(queries, index, k, query_id, vector, None), placed, cells, k, query_id, item_id, vector, carry, out), "cell_home")
-    rest = _score(_visits(queries, index, k, query_id, vector, _floors(first, k, query_id, item_id)), placed, cells, k, query_id, item_id, vector, carry, out)
-    return top_within(first.unionByName(rest), [query_id], [F.desc("score"), F.asc(item_id)], k)
+    dealt, blocks, shards = _dealt(queries, _floors(first, k, query_id, item_id), index, k, query_id, vector)
+    found = _stream(dealt, blocks, shards, index, placed, k, query_id, item_id, vector, carry, out)
+    return top_within(found, [query_id], [F.desc("score"), F.asc(item_id)], k)
 
 
 def scored_share(queries: DataFrame, items: DataFrame, k: int, query_id: str = "JobID", item_id: str = "ID", vector: str = "embedding",

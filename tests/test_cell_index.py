@@ -87,3 +87,46 @@ def test_scoring_a_group_needs_little_memory():
     for at in (0, 19_999):
         exact = np.rint(unit(q)[at] @ unit(x).T * 1_000_000)
         assert set(cols[rows_ == at]) == set(np.lexsort((np.arange(len(x)), -exact))[:3])
+
+
+def test_no_row_for_every_query_and_cell(spark, monkeypatch):
+    """Directions without clusters, so every query needs every cell: what is written and moved follows the tables, not their product."""
+    rng = np.random.default_rng(6)
+    vectors = rng.normal(size=(1200, 16)).tolist()
+    items = [(i, "c", v) for i, v in enumerate(vectors)]
+    queries = [(i, v) for i, v in enumerate(vectors[:700])]
+    sizes, keep = [], C.written
+
+    def counted(df, name):
+        kept = keep(df, name)
+        sizes.append(kept.count())
+        return kept
+
+    monkeypatch.setattr(C, "written", counted)
+    got = C.topk_cosine_cells(spark.createDataFrame(queries, SCHEMA_Q), spark.createDataFrame(items, SCHEMA_I), 4, cell_rows=20)
+    assert sorted((r.JobID, r.ID, r.score, r.rank) for r in got.collect()) == brute(queries, items, 4)
+    assert sum(sizes) < 10 * (len(queries) + len(items))  # a visit of each query to each of the 60 cells would be 42,000 rows
+
+
+def test_keys_repeated_missing_and_of_text(spark, monkeypatch):
+    """Blocks of a few queries, ids that are null or repeated, null values carried, and queries of which none has a vector."""
+    monkeypatch.setattr(C, "BLOCK_VALUES", 900)
+    rng = np.random.default_rng(7)
+    vectors = rng.normal(size=(90, 8)).round(3).tolist()
+    items = [(None if i % 9 == 0 else f"i{i % 40:02}", None if i % 2 else i, v) for i, v in enumerate(vectors)]
+    queries = [(None if i % 20 == 0 else f"q{i % 25}", v) for i, v in enumerate(vectors[:60])] + [("none", None)]
+    schema = "ID string, n int, embedding array<float>"
+    found = C.topk_cosine_cells(spark.createDataFrame(queries, "JobID string, embedding array<double>"), spark.createDataFrame(items, schema), 3, cell_rows=6, carry=["n"])
+    unit = lambda v: np.float32(v).astype(float) / np.linalg.norm(np.float32(v).astype(float))
+    best = {}
+    for query, q in queries[:-1]:
+        for item, n, v in items:
+            best.setdefault(query, []).append((-round(float(np.asarray(q) / np.linalg.norm(q) @ unit(v)), 6), item or "", n or -1))
+    expect = sorted((q or "", i, -s, r + 1) for q, all_ in best.items() for r, (s, i, _) in enumerate(sorted(all_)[:3]))
+    assert sorted((r.JobID or "", r.ID or "", r.score, r.rank) for r in found.collect()) == expect
+    of = {(i or "", n) for i, n, _ in items}
+    assert all((r.ID or "", r.n) in of for r in found.collect())
+    empty = C.topk_cosine_cells(spark.createDataFrame([(1, None)], SCHEMA_Q), spark.createDataFrame([(1, "c", [1.0, 0.0])], SCHEMA_I), 3)
+    assert empty.count() == 0
+    sizes = {needed: C._layout(needed, 8) for needed in (0, 1, 3, 5, 8, 10)}
+    assert sizes == {0: (2, 4), 1: (2, 4), 3: (4, 2), 5: (8, 1), 8: (8, 1), 10: (16, 1)}
